@@ -337,7 +337,10 @@ def outliers(df: DataFrame, column: str, label: str, condition: str | Column | N
     quartiles = find(values, "x", _QUARTILES)
     spread = F.col("q3") - F.col("q1")
     fences = quartiles.select(
-        F.struct("q1", "mediana", "q3", (F.col("q1") - 1.5 * spread).alias("lo"), (F.col("q3") + 1.5 * spread).alias("hi"))
+        F.struct(  # nine digits: a fence that falls on a value must not move with the last bit
+            "q1", "mediana", "q3", F.round(F.col("q1") - 1.5 * spread, 9).alias("lo"),
+            F.round(F.col("q3") + 1.5 * spread, 9).alias("hi"),
+        )
     ).scalar()
     counted = values.withColumn("f", fences).agg(
         F.count("*").alias("n"),

@@ -17,6 +17,7 @@ from wattfold.operators.aggregate import best_row, pivot_matrix, share_of_total,
 from wattfold.operators.joins import pre_aggregate, roles_by_key, star_join
 from wattfold.operators.ranking import consecutive_blocks, exact_quantiles, top_k, top_k_share
 from wattfold.operators.stats import correlation_label, deseasonalise, linear_trend, safe_corr, spearman
+from wattfold.plans.documentation import require_additive
 
 REASON_COLUMNS = {"rel": "corte_rel_mwh", "cnf": "corte_cnf_mwh", "ene": "corte_ene_mwh", "par": "corte_par_mwh"}
 ORIGIN_COLUMNS = {"sis": "corte_sis_mwh", "loc": "corte_loc_mwh"}
@@ -45,6 +46,13 @@ def _sources(star: Star, *columns: str) -> tuple[DataFrame, str]:
     return star.dim_fonte_geracao.select("sk_fonte", *columns), "sk_fonte"
 
 
+def _sums(star: Star, table: str, keys: list[str], measures: list[str], where: Column | None = None) -> DataFrame:
+    """Sums of additive measures of a fact per key combination."""
+    require_additive(table, measures)
+    fact = getattr(star, table)
+    return pre_aggregate(fact if where is None else fact.filter(where), keys, measures)
+
+
 def _gwh(column: str) -> Column:
     return F.sum(column) / 1000.0
 
@@ -227,7 +235,7 @@ def period_totals(star: Star) -> DataFrame:
 
 
 def totals_by_source(star: Star) -> DataFrame:
-    sums = pre_aggregate(star.fato_restricao_horaria, ["sk_fonte"], ["corte_mwh", "geracao_referencia_mwh"])
+    sums = _sums(star, "fato_restricao_horaria", ["sk_fonte"], ["corte_mwh", "geracao_referencia_mwh"])
     named = star_join(sums, _sources(star, "nom_fonte")).groupBy("nom_fonte").agg(
         F.sum("corte_mwh").alias("mwh"), F.sum("geracao_referencia_mwh").alias("ref")
     )
@@ -289,7 +297,7 @@ def month_extremes(star: Star, household_kwh=HOUSEHOLD_KWH_PER_MONTH) -> DataFra
 
 # --- where -----------------------------------------------------------------------------------------
 def _per_plant(star: Star) -> DataFrame:
-    return pre_aggregate(star.fato_restricao_horaria, ["sk_usina"], ["corte_mwh", "geracao_referencia_mwh"])
+    return _sums(star, "fato_restricao_horaria", ["sk_usina"], ["corte_mwh", "geracao_referencia_mwh"])
 
 
 def _concentration(sums: DataFrame, keys: list[str], plants: Column) -> DataFrame:
@@ -304,9 +312,7 @@ def _concentration(sums: DataFrame, keys: list[str], plants: Column) -> DataFram
 
 
 def concentration_by_subsystem(star: Star) -> DataFrame:
-    sums = pre_aggregate(
-        star.fato_restricao_horaria, ["sk_subsistema", "sk_usina"], ["corte_mwh", "geracao_referencia_mwh"]
-    )
+    sums = _sums(star, "fato_restricao_horaria", ["sk_subsistema", "sk_usina"], ["corte_mwh", "geracao_referencia_mwh"])
     named = star_join(sums, (star.dim_subsistema.select("sk_subsistema", "nom_subsistema"), "sk_subsistema"))
     return _concentration(named, ["nom_subsistema"], F.count_distinct("sk_usina"))
 
@@ -387,7 +393,7 @@ def reasons_by_month(star: Star) -> DataFrame:
 
 
 def reasons_by_source(star: Star) -> DataFrame:
-    sums = pre_aggregate(star.fato_restricao_horaria, ["sk_fonte"], ["corte_mwh", *REASON_COLUMNS.values()])
+    sums = _sums(star, "fato_restricao_horaria", ["sk_fonte"], ["corte_mwh", *REASON_COLUMNS.values()])
     named = star_join(sums, _sources(star, "nom_fonte"))
     return named.groupBy("nom_fonte").agg(*[
         ratio_pct(F.sum(REASON_COLUMNS[k]), F.sum("corte_mwh"), 1).alias(f"pct_{k}") for k in ("rel", "cnf", "ene")
@@ -424,9 +430,8 @@ def reasons_by_block(star: Star, blocks=3) -> DataFrame:
 def storage_series(star: Star, subsystem="NE", roles=None) -> DataFrame:
     """Daily curtailment of a subsystem beside the storage level of two subsystems: one row per day."""
     roles = roles or {"ne": "NE", "se": "SE"}
-    cut = pre_aggregate(
-        star.fato_restricao_horaria.filter(F.col("sk_subsistema") == subsystem), ["sk_data"],
-        ["corte_mwh", "geracao_referencia_mwh"],
+    cut = _sums(
+        star, "fato_restricao_horaria", ["sk_data"], ["corte_mwh", "geracao_referencia_mwh"], F.col("sk_subsistema") == subsystem
     )
     levels = roles_by_key(
         star.fato_reservatorio_diario, "sk_data", "sk_subsistema", roles,
@@ -528,9 +533,7 @@ def net_load_summary(star: Star, subsystem="NE", since=None) -> DataFrame:
 
 def curtailment_by_net_load(star: Star, subsystem="NE") -> DataFrame:
     """One row: curtailment against net load, hour by hour. The fact is summed per hour before the join."""
-    cut = pre_aggregate(
-        star.fato_restricao_horaria.filter(F.col("sk_subsistema") == subsystem), ["sk_data", "sk_hora"], ["corte_mwh"]
-    )
+    cut = _sums(star, "fato_restricao_horaria", ["sk_data", "sk_hora"], ["corte_mwh"], F.col("sk_subsistema") == subsystem)
     load = star.fato_balanco_horario.filter(F.col("sk_subsistema") == subsystem).select(
         "sk_data", "sk_hora", "carga_liquida_mwmed", "carga_liquida_negativa"
     )

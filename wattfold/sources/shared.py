@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -16,3 +16,11 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="wattfold-")
     return f"{base.rstrip('/')}/wattfold-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and cut from its sources, so a lost executor costs no recomputation."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint()
