@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattfold.sources.bronze import spread
+
 TABLES = "region nation customer supplier part orders lineitem events documents labels".split()
 
 
@@ -208,7 +210,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     """A dataset's bronze frame, derived from a given table by Spark."""
     build, source = DATASETS[dataset]
-    return spark.sql(build(Spark, "{src}"), src=table(spark, sf_dir, source))
+    return spark.sql(build(Spark, "{src}"), src=spread(table(spark, sf_dir, source)))
 
 
 def bronze_sql(dataset: str) -> str:

@@ -4,35 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattfold.functions.measures import ratio_pct
 
 PIVOTS = 255
 
 
+def _cuts_at_or_below(cuts: Column, value: Column, pivots: int) -> Column:
+    """How many of the sorted cuts are at or below the value, by halving steps. A missing cut compares as NULL: no step."""
+    steps = [F.lit(1 << i) for i in reversed(range(pivots.bit_length()))]
+    return F.aggregate(
+        F.array(*steps), F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) <= value, at + step).otherwise(at)
+    )
+
+
 def ordered_counts(df: DataFrame, column: str, pivots: int = PIVOTS) -> DataFrame:
-    """Every distinct non-NULL value with its count ``n`` and the number of smaller rows ``before``.
+    """Every distinct non-NULL value with its count ``n``, the number of smaller rows ``before`` and of all rows ``total``.
 
     A global ``Window.orderBy`` would sort everything in one task. Here values are counted (a hot value becomes one
     row), split into ranges by at most ``pivots`` values picked by hash - a fixed choice for given data, so a retried
-    task sees the same ranges - and each range is accumulated on its own. What each range must add is a table of at
-    most ``pivots + 1`` rows, small by construction.
+    task sees the same ranges - and each range is accumulated on its own. What each range must add is a map of at most
+    ``pivots + 1`` entries, which reaches the rows as a scalar.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
     chosen = counts.select("value").orderBy(F.xxhash64("value"), "value").limit(pivots)
     cuts = chosen.agg(F.sort_array(F.collect_list("value"))).scalar()
-    # size(filter(cuts, x -> x <= value)): number of cuts at or below the value
     ranged = counts.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col("value")))
+        "_range", _cuts_at_or_below(F.col("_cuts"), F.col("value"), pivots)
     ).drop("_cuts")
     inside = Window.partitionBy("_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     per_range = ranged.groupBy("_range").agg(F.sum("n").alias("_rows"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    return local.join(F.broadcast(offsets), "_range").select(
-        "value", "n", (F.col("_local") + F.col("_offset")).alias("before")
+    starts = per_range.select("_range", "_rows", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    summary = starts.agg(F.struct(
+        F.map_from_entries(F.collect_list(F.struct("_range", "_start"))).alias("start"), F.sum("_rows").alias("total")
+    )).scalar()
+    return local.withColumn("_s", summary).select(
+        "value", "n", (F.col("_local") + F.col("_s.start")[F.col("_range")]).alias("before"), F.col("_s.total").alias("total")
     )
 
 
@@ -50,10 +60,9 @@ def with_average_rank(df: DataFrame, column: str, name: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, column: str, probs: Mapping[str, float]) -> DataFrame:
     """One row of exact quantiles with linear interpolation, and the row count ``n``."""
     counts = ordered_counts(df, column)
-    rows = df.agg(F.count(column)).scalar()
     parts = []
     for name, p in probs.items():
-        at = F.lit(float(p)) * (rows - 1)
+        at = F.lit(float(p)) * (F.col("total") - 1)
         for side, position in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             here = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
             parts.append(F.max(F.when(here, F.col("value"))).alias(f"_{name}_{side}"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattfold.config import RECONCILE_TOLERANCE, SENTINELS
-from wattfold.functions.clean import CLEANERS, clean_text, has_newline, visible_null
+from wattfold.functions.clean import CLEANERS, clean_text, has_newline, is_sentinel, visible_null
 from wattfold.functions.measures import month_text, ratio_pct
 from wattfold.operators.ranking import approximate_quantiles, exact_quantiles
 from wattfold.operators.stats import safe_corr
@@ -30,23 +30,22 @@ def _rows_of(df: DataFrame, groups: Mapping[str, Mapping[str, Column]], label: s
 def profile(df: DataFrame, table: str, distinct="approx", sentinels=SENTINELS) -> DataFrame:
     """One row per business column (names not starting with ``_``): NULLs, no-value texts, share absent, distinct values.
 
-    ``distinct="approx"`` is one pass with sketches. ``distinct="exact"`` counts each (column, value) pair first, so a
-    value that fills a third of a column is one row per task before the shuffle.
+    Columns become rows inside each task and are reduced there to one row per column, so one small compiled loop serves
+    any number of columns. ``distinct="approx"`` uses sketches. ``distinct="exact"`` counts each (column, value) pair
+    first, so a value that fills a third of a column is one row per task before the shuffle.
     """
     columns = [c for c in df.columns if not c.startswith("_")]
+    pairs = df.select(*columns).unpivot([], columns, "coluna", "valor")
+    absent = is_sentinel(F.trim("valor"), sentinels)
     if distinct == "approx":
-        def measures(c):
-            return {
-                "linhas_totais": F.count(F.lit(1)),
-                "qtd_nulos": F.count_if(F.col(c).isNull()),
-                "qtd_sentinelas": F.count_if(F.trim(c).isin(list(sentinels))),
-                "qtd_valores_distintos": F.approx_count_distinct(c),
-            }
-        rows = _rows_of(df, {c: measures(c) for c in columns}, "coluna")
+        rows = pairs.groupBy("coluna").agg(
+            F.count(F.lit(1)).alias("linhas_totais"),
+            F.count_if(F.col("valor").isNull()).alias("qtd_nulos"),
+            F.count_if(absent).alias("qtd_sentinelas"),
+            F.approx_count_distinct("valor").alias("qtd_valores_distintos"),
+        )
     else:
-        pairs = df.select(*columns).unpivot([], columns, "coluna", "valor")
         counted = pairs.groupBy("coluna", "valor").agg(F.count("*").alias("n"))
-        absent = F.trim("valor").isin(list(sentinels))
         rows = counted.groupBy("coluna").agg(
             F.sum("n").alias("linhas_totais"),
             F.sum(F.when(F.col("valor").isNull(), F.col("n")).otherwise(0)).alias("qtd_nulos"),
