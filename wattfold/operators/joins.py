@@ -35,7 +35,7 @@ def orphan_count(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -
     The fact is first counted per key, so the anti-join handles distinct keys and a hot key is one row.
     """
     per_key = fact.groupBy(F.col(fact_key).alias("_key")).agg(F.count("*").alias("_rows"))
-    known = dim.select(F.col(dim_key).alias("_key")).distinct()
+    known = dim.select(F.col(dim_key).alias("_key"))
     return per_key.join(known, "_key", "left_anti").agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("chaves_orfas"),
         F.count("*").alias("valores_distintos_orfaos"),
