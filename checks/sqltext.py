@@ -28,8 +28,11 @@ def day(c):
 
 
 def rnd(x, digits):
-    """Half-up rounding of the decimal value, which is what Spark's round does to a double."""
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    """Half-up rounding of the decimal value, which is what Spark's round does to a double.
+
+    The decimal keeps at least six digits more than are asked for, so that rounding twice does not show.
+    """
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,{10 if digits <= 4 else 14})), {digits}) AS DOUBLE)"
 
 
 def ratio(a, b, digits=None):

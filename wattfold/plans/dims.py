@@ -15,6 +15,13 @@ from wattfold.operators.aggregate import latest_attributes
 from wattfold.operators.joins import enrich
 
 
+def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Metadata rows as a table inside the plan; its size is known when a join is planned, so it is broadcast."""
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def date_limits(dates: Sequence[DataFrame]) -> DataFrame:
     """One row with the first and last date of several one-column frames, each reduced before they meet."""
     each = [d.select(F.col(d.columns[0]).cast("date").alias("d")).agg(F.min("d").alias("ini"), F.max("d").alias("fim"))
@@ -59,7 +66,7 @@ def hour_dim(spark: SparkSession, parts=DAY_PARTS, peak=PEAK_HOURS, solar=SOLAR_
 
 def subsystem_dim(spark: SparkSession, rows=SUBSYSTEMS) -> DataFrame:
     schema = "id_subsistema string, nom_subsistema_ons string, nom_subsistema string, estados string, eh_agregado boolean"
-    return spark.createDataFrame(rows, schema).select(
+    return inline_rows(spark, rows, schema).select(
         F.col("id_subsistema").alias("sk_subsistema"), "id_subsistema", "nom_subsistema", "nom_subsistema_ons",
         "estados", "eh_agregado",
     )
@@ -70,7 +77,7 @@ def source_dim(spark: SparkSession, rows=SOURCES) -> DataFrame:
         "cod_fonte string, nom_fonte string, coluna_origem string, eh_renovavel boolean, eh_despachavel boolean, "
         "eh_intermitente boolean"
     )
-    return spark.createDataFrame(rows, schema).select(
+    return inline_rows(spark, rows, schema).select(
         F.col("cod_fonte").alias("sk_fonte"), "cod_fonte", "nom_fonte", "eh_renovavel", "eh_despachavel",
         "eh_intermitente", "coluna_origem",
     )
