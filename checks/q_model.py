@@ -217,19 +217,19 @@ def pivot_wide(spark, d):
 
 
 # --- silver ------------------------------------------------------------------------------------
-register("silver_balance", "SELECT * FROM s_balanco")(layers.build_balance)
-register("silver_storage", "SELECT * FROM s_ear")(layers.build_storage)
-register("silver_curtailment", "SELECT * FROM s_restricao")(layers.build_curtailment)
-register("silver_capacity", "SELECT * FROM s_capacidade")(layers.build_capacity)
+register("silver_balance", "SELECT * FROM s_balanco", digits=None)(layers.build_balance)
+register("silver_storage", "SELECT * FROM s_ear", digits=None)(layers.build_storage)
+register("silver_curtailment", "SELECT * FROM s_restricao", digits=None)(layers.build_curtailment)
+register("silver_capacity", "SELECT * FROM s_capacidade", digits=None)(layers.build_capacity)
 
 # --- dimensions and facts over the stored silver layer ---------------------------------------------
-register("dim_calendar", "SELECT * FROM d_data")(layers.build_calendar)
-register("dim_plant", "SELECT * FROM d_usina")(layers.build_plants)
+register("dim_calendar", "SELECT * FROM d_data", digits=None)(layers.build_calendar)
+register("dim_plant", "SELECT * FROM d_usina", digits=None)(layers.build_plants)
 for _name, _sql in {
     "fato_geracao_horaria": "f_geracao", "fato_balanco_horario": "f_balanco", "fato_restricao_horaria": "f_restricao",
     "fato_reservatorio_diario": "f_reservatorio",
 }.items():
-    register(_name, f"SELECT * FROM {_sql}")(layers.BUILDERS[_name])
+    register(_name, f"SELECT * FROM {_sql}", digits=None)(layers.BUILDERS[_name])
 
 
 @register("hour_dim_on_events", """
