@@ -11,7 +11,9 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattfold.llm import bwt_dedup, chat_format, fingerprints, mixture, piece_codec, sql, texts as T, token_counts, window_dedup
+from wattfold.llm import (  # noqa: E501
+    bwt_dedup, chat_format, fingerprints, jaccard_join, language_id, mixture, piece_codec, pq_dedup, sql, texts as T, token_counts, window_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(sql.ORACLE)
@@ -120,3 +122,22 @@ def op7_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes that repeated strings take out of every document."""
     found = bwt_dedup.remove_repeats(T.table(spark, sf_dir, "documents"))
     return found.select(T.public_id(), "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@register
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of three-word shingles are linked."""
+    found = jaccard_join.classes(T.table(spark, sf_dir, "documents"))
+    return found.select(T.public_id(), "n_shingles", T.public_id("component_id"))
+
+
+@register
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text."""
+    return language_id.identify(T.table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of the whole table."""
+    return pq_dedup.near_duplicates(T.table(spark, sf_dir, "embeddings"))

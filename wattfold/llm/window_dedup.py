@@ -107,16 +107,16 @@ def repeated_spans(df: DataFrame, size: int = WINDOW) -> DataFrame:
     return sent.repartitionById(buckets, "bucket").mapInArrow(_second_step(size), S.ROW).select("doc_id", "first", "last")
 
 
-def remove_repeats(df: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, kept_text (kept words joined by one space), n_words and n_removed of every document.
+def remove_repeats(df: DataFrame, size: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, kept_text (kept words joined by one space), n_words and n_removed of every document, and the columns ``keep``.
 
     A null or empty text has no words; a text shorter than a window loses none; repeated rows give repeated rows; an empty
-    table gives an empty one; other columns are left behind. Ids come as they are inside, see texts.public_id.
+    table gives an empty one; columns not asked for are left behind. Ids come as they are inside, see texts.public_id.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches):
             texts, out = T.Utf8(batch.column(1)), []
-            for i, spans in enumerate(S.span_lists(batch.column(2))):
+            for i, spans in enumerate(S.span_lists(batch.column(batch.num_columns - 1))):
                 words = texts.text(i).split()
                 at, kept = 0, []
                 for a, b in spans:
@@ -125,7 +125,9 @@ def remove_repeats(df: DataFrame, size: int = WINDOW) -> DataFrame:
                 kept += words[at:]
                 out.append((b" ".join(kept).decode(), len(words), len(words) - len(kept)))
             text, n, m = map(list, zip(*out))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string()), pa.array(n, pa.int64()), pa.array(m, pa.int64())], names=["doc_id", "kept_text", "n_words", "n_removed"])
+            more = [batch.column(2 + k) for k in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string()), pa.array(n, pa.int64()), pa.array(m, pa.int64()), *more], names=names)
 
-    joined = S.with_spans(T.documents(df), repeated_spans(df, size))
-    return joined.mapInArrow(run, "doc_id long, kept_text string, n_words long, n_removed long")
+    names = ["doc_id", "kept_text", "n_words", "n_removed", *keep]
+    schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", `{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
+    return S.with_spans(T.documents(df, *keep), repeated_spans(df, size), *keep).mapInArrow(run, schema)
