@@ -24,12 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattfold.llm import texts as T
+from wattfold.llm import spans as S, texts as T
 from wattfold.llm.components import components
 
 SHINGLE, PERCENT = 3, 90
 #: Sets in a chunk of a block.
 CHUNK = 128
+#: Documents sampled for frequent shingles, how often one must occur there, and how many are kept at most.
+SAMPLE, OFTEN, MOST_FREQUENT = 10_000, 5, 200_000
 _WORD, _SHINGLE, _PART = (T.Roller(i) for i in (41, 42, 43))
 
 
@@ -61,18 +63,25 @@ def most_apart(n: int, percent: int) -> int:
 
 
 class Levels:
-    """Size levels: level k holds the sizes from start[k] to start[k + 1] - 1, whose partners lie in levels k - 1 to k + 1."""
+    """Size levels: level k holds the sizes from start[k] to start[k + 1] - 1, whose partners lie in levels k - 1 to k + 1.
+
+    Linked sets of a level differ in at most D parts. With ``spare`` parts more than D + 1, they agree in at least spare + 1. A
+    set with at most ``spare`` parts that are empty or hold frequent shingles only need not state those: both sets see such an
+    agreeing part alike, and an agreeing part with a rare shingle is left.
+    """
 
     def __init__(self, percent: int):
-        self.percent, self.start, self.parts = percent, [1], []
+        self.percent, self.start, self.parts, self.spare = percent, [1], [], []
 
     def upto(self, n: int) -> None:
         while self.start[-1] <= n:
             a = self.start[-1]
-            # The largest size of the level may link with the smallest one below the level at most one level away.
             self.start.append(max(a + 1, a * 100 // self.percent + 1))
             top = self.start[-1] - 1
-            self.parts.append(1 + max(most_apart(m, self.percent) for m in range(a, top + 1)) if top - a < 50 else 1 + 2 * top * (100 - self.percent) // (100 + self.percent))
+            apart = max(most_apart(m, self.percent) for m in range(a, top + 1)) if top - a < 50 else 2 * top * (100 - self.percent) // (100 + self.percent)
+            spare = apart and max(1, apart // 3)
+            self.parts.append(apart + 1 + spare)
+            self.spare.append(spare)
 
     def of(self, n: int) -> int:
         self.upto(n + 1)
@@ -85,14 +94,16 @@ class Levels:
         return [(j, self.parts[j]) for j in (k, k + 1)]
 
 
-def part_digests(values: np.ndarray, level: int, parts: int) -> np.ndarray:
-    """A digest of the elements in each part of the range of hashes; parts without elements have one too."""
+def part_digests(values: np.ndarray, rare: np.ndarray, level: int, parts: int, spare: int) -> np.ndarray:
+    """A digest of the elements in each part of the range of hashes; of parts without rare elements only if there are too many."""
     part = T.mixed(values ^ np.uint64(level * 7919 + 1)) >> np.uint64(11)
     part = (part.astype(np.float64) * (parts / 2.0**53)).astype(np.int64)
     np.minimum(part, parts - 1, out=part)
     total = np.zeros(parts, np.uint64)
     np.add.at(total, part, T.mixed(values + np.uint64(977)))
-    return T.mixed(total ^ T.mixed(np.arange(parts, dtype=np.uint64) + np.uint64(level * 1_000_003 + parts)))
+    digests = T.mixed(total ^ T.mixed(np.arange(parts, dtype=np.uint64) + np.uint64(level * 1_000_003 + parts)))
+    filled = np.bincount(part[rare], minlength=parts) > 0
+    return digests[filled] if parts - filled.sum() <= spare else digests
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
@@ -116,42 +127,63 @@ def set_rows(docs: DataFrame, size: int, whole: bool, *more: str) -> DataFrame:
     return docs.select("doc_id", "text", *more).mapInArrow(run, schema)
 
 
+def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
+    """Hashes of shingles that many documents hold, from a bounded sample of documents; ascending.
+
+    They only steer the search for candidates: whichever shingles this returns, no linked pair is missed.
+    """
+    total = docs.count()
+    share = min(2**30, 2**30 * SAMPLE // max(1, total))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in T.chunks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_sets(batch, size)).view(np.int64))], names=["shingle"])
+
+    counts = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < share).mapInArrow(run, "shingle long").groupBy("shingle").count()
+    often = counts.where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT).select("shingle").toPandas()["shingle"]
+    return np.sort(often.to_numpy(np.int64).view(np.uint64))
+
+
 def _candidate_chains(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Candidate links (a, b): each set with the smallest one that has a part in common."""
     buckets = T.partitions(docs.sparkSession)
-    chain = pa.schema([("bucket", pa.int32()), ("digest", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = Levels(percent)
-        for batch in T.chunks(batches, limit=8 * T.CHUNK_BYTES):
-            digests, owners = [], []
+        levels, frequent = Levels(percent), shared.value
+        for batch in T.chunks(batches, limit=3 * T.CHUNK_BYTES):
+            digests, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for part in T.chunks(iter([batch])):
-                for i, values in zip(part.column(0).to_pylist(), _sets(part, size)):
+                sets = _sets(part, size)
+                every = np.concatenate(sets)
+                at = np.searchsorted(frequent, every)
+                at[at == len(frequent)] = 0
+                rare = np.split(frequent[at] != every if len(frequent) else np.ones(len(every), bool), np.cumsum([len(x) for x in sets])[:-1])
+                for i, values, own in zip(part.column(0).to_pylist(), sets, rare):
                     for level, n in levels.schemes(len(values)) if len(values) else ():
                         if n == 1:
                             continue  # only equal sets can link
-                        digests.append(part_digests(values, level, n))
-                        owners.append(np.full(n, i, np.int64))
-            if digests:
-                yield from _chained(np.concatenate(digests), np.concatenate(owners), buckets, chain)
+                        stated = part_digests(values, own, level, n, levels.spare[level])
+                        digests.append(stated)
+                        owners.append(np.full(len(stated), i, np.int64))
+            yield from _stated(np.concatenate(digests), np.concatenate(owners), buckets)
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests, owners = [], []
         for batch in batches:
-            digest = batch.column(1)
-            passed = batch.filter(digest.is_null())
+            passed = batch.filter(batch.column(4).is_null())
             if passed.num_rows:
-                yield pa.RecordBatch.from_arrays([passed.column(2), passed.column(3)], names=["a", "b"])
-            kept = batch.filter(digest.is_valid())
-            digests.append(kept.column(1).to_numpy(zero_copy_only=False).view(np.uint64))
-            owners.append(kept.column(2).to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([passed.column(1), passed.column(2)], names=["a", "b"])
+            for block in batch.column(4).drop_null():
+                own, high, low, _, _ = S.unpacked(block.as_py())
+                digests.append((low.astype(np.uint64) << np.uint64(32)) | high.astype(np.uint64))
+                owners.append(own)
         if digests:
             a, b = _pairs(np.concatenate(digests), np.concatenate(owners))
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    sent = docs.mapInArrow(parts, "bucket int, digest long, a long, b long")
-    return sent.repartitionById(buckets, "bucket").mapInArrow(chains, "a long, b long").distinct()
+    return docs.mapInArrow(parts, S.ROW).repartitionById(buckets, "bucket").mapInArrow(chains, "a long, b long").distinct()
 
 
 def _pairs(digests: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,17 +196,25 @@ def _pairs(digests: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndar
     return found[0], found[1]
 
 
-def _chained(digests: np.ndarray, owners: np.ndarray, buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """What a task states: each digest with its smallest owner here, and the other owners chained to that one."""
+def _stated(digests: np.ndarray, owners: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """What a task states: each digest (48 bits) with its smallest owner here, packed by bucket, and the other owners chained to that one."""
+    if not len(digests):
+        return
+    a, b = _pairs(digests, owners)
+    if len(a):
+        yield S.span_rows(a, b, b, buckets)
     order = np.lexsort((owners, digests))
     digests, owners = digests[order], owners[order]
     first = np.ones(len(digests), dtype=bool)
     first[1:] = digests[1:] != digests[:-1]
     digest, owner = digests[first], owners[first]
-    yield pa.RecordBatch.from_arrays([pa.array((digest % np.uint64(buckets)).astype(np.int32)), pa.array(digest.view(np.int64)), pa.array(owner), pa.nulls(len(owner), pa.int64())], schema=schema)
-    a, b = _pairs(digests, owners)
-    if len(a):
-        yield pa.RecordBatch.from_arrays([pa.array((a % buckets).astype(np.int32)), pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b)], schema=schema)
+    bucket = (digest % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((owner, bucket))
+    digest, owner, bucket = digest[order] >> np.uint64(16), owner[order], bucket[order]
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    high, low = (digest & np.uint64(0xFFFFFFFF)).astype(np.int64), (digest >> np.uint64(32)).astype(np.int64)
+    blocks = [S.packed(owner[x:y], high[x:y], low[x:y], [b""] * (y - x)) for x, y in zip(cuts, np.append(cuts[1:], len(bucket)))]
+    yield S.block_rows(bucket[cuts].tolist(), blocks)
 
 
 def tree_join(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, int]]:

@@ -18,7 +18,7 @@ _NAMES = ["bucket", "doc_id", "first", "last", "block"]
 def packed(ids: list[int], starts: list[int], marks: list[int], parts: list[bytes]) -> bytes:
     """Stretches of documents in one compressed block: ids, places, a 32-bit mark each, lengths and contents."""
     arrays = (np.array(ids, np.int64), np.array(starts, np.int64), np.array(marks, np.uint32), np.array([len(x) for x in parts], np.uint32))
-    raw = b"".join([struct.pack("<q", len(parts)), np.diff(arrays[0], prepend=0).tobytes(), arrays[1].astype(np.uint32).tobytes() if not len(starts) or max(starts) < 2**32 else b"", *(a.tobytes() for a in arrays[2:]), *parts])
+    raw = b"".join([struct.pack("<q", len(parts)), np.diff(arrays[0], prepend=0).tobytes(), arrays[1].astype(np.uint32).tobytes(), *(a.tobytes() for a in arrays[2:]), *parts])
     return zstandard.compress(raw, 3)
 
 
