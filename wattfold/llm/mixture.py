@@ -15,6 +15,8 @@ from wattfold.llm import texts as T
 WEIGHTS, SHARE, EPOCHS = (3, 1, 2), 1.5, 2
 #: Documents in a key range of the largest source, at most about; it sets how many ranges there are, not what is taken.
 RANGE_ROWS = 1000
+#: Up to so many sources, their budgets are broadcast; beyond, joined by a shuffle that adaptive execution splits.
+BROADCAST_SOURCES = 10_000
 SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -61,7 +63,9 @@ def mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOC
     budget = targets([(s, n) for s, n, _ in by_source], weights, share, epochs)
     digits = next(d for d in range(1, 33) if max([rows for *_, rows in by_source], default=0) <= RANGE_ROWS * 16**d)
     plan = spark.createDataFrame([(s, n, budget[s]) for s, n, _ in by_source], "of string, source_size long, target double")
-    docs = docs.join(plan, docs["source"].eqNullSafe(plan["of"])).drop("of")
+    if len(by_source) <= BROADCAST_SOURCES:
+        plan = F.broadcast(plan)
+    docs = docs.join(plan, docs["source"].eqNullSafe(F.col("of"))).drop("of")
     docs = docs.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull(), "range": F.substring("key", 1, digits)})
     starts = _starts(docs.groupBy("s", "none", "range").agg(F.sum("size").alias("n")), digits)
     within = Window.partitionBy("s", "none", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
