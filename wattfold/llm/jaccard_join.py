@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from wattfold.llm import spans as S, texts as T
@@ -169,21 +170,33 @@ def _candidate_chains(docs: DataFrame, size: int, percent: int) -> DataFrame:
             yield from _stated(np.concatenate(digests), np.concatenate(owners), buckets)
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests, owners = [], []
+        digests, owners, pairs = [], [], []
         for batch in batches:
             passed = batch.filter(batch.column(4).is_null())
-            if passed.num_rows:
-                yield pa.RecordBatch.from_arrays([passed.column(1), passed.column(2)], names=["a", "b"])
+            pairs.append(np.stack([passed.column(k).to_numpy(zero_copy_only=False) for k in (1, 2)]))
             for block in batch.column(4).drop_null():
                 own, high, low, _, _ = S.unpacked(block.as_py())
                 digests.append((low.astype(np.uint64) << np.uint64(32)) | high.astype(np.uint64))
                 owners.append(own)
         if digests:
-            a, b = _pairs(np.concatenate(digests), np.concatenate(owners))
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return docs.mapInArrow(parts, S.ROW).repartitionById(buckets, "bucket").mapInArrow(chains, "a long, b long").distinct()
+            pairs.append(np.stack(_pairs(np.concatenate(digests), np.concatenate(owners))))
+        if pairs:
+            a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
+            bucket = (T.mixed(a.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            a, b, bucket = a[order], b[order], bucket[order]
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            blocks = [zstandard.compress(np.stack([a[x:y], b[x:y]]).tobytes(), 3) for x, y in zip(cuts, np.append(cuts[1:], len(bucket)))]
+            yield S.block_rows(bucket[cuts].tolist(), blocks)
+
+    def each_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = [np.frombuffer(zstandard.decompress(x.as_py()), np.int64).reshape(2, -1) for batch in batches for x in batch.column(4)]
+        if pairs:
+            a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    stated = docs.mapInArrow(parts, S.ROW).repartitionById(buckets, "bucket")
+    return stated.mapInArrow(chains, S.ROW).repartitionById(buckets, "bucket").mapInArrow(each_once, "a long, b long")
 
 
 def _pairs(digests: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
