@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from wattfold.llm import spans as S, texts as T
 
 LENGTH, SEED, SYMBOL = 100, 20, 8
-#: Bytes of text cut at a time, bytes that a task gathers before it sends blocks, and bytes of a shard.
-CUT_BYTES, SEND_BYTES, SHARD_BYTES = 1_500_000, 12_000_000, 200_000
+#: Bytes of text cut at a time, bytes that a task gathers before it sends blocks, bytes of a shard, and bytes merged at a time
+#: (more only where one minimiser has more).
+CUT_BYTES, SEND_BYTES, SHARD_BYTES, MERGE_BYTES = 1_000_000, 8_000_000, 150_000, 1_000_000
 _BYTES = T.Roller(31)
 
 
@@ -215,7 +216,7 @@ def _second_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not blocks:
         return
     # A minimiser that occurs once in all belongs to no repeat.
-    found, n = np.unique(np.concatenate(marks), return_counts=True)
+    found, n = np.unique(np.concatenate(marks) & np.uint32(0x7FFFFFFF), return_counts=True)
     often = found[n > 1]
     places: dict[bytes, tuple[int, int]] = {}
     mark_of: dict[bytes, int] = {}
@@ -223,7 +224,7 @@ def _second_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks:
         ids, starts, own, lengths, raw = S.unpacked(block)
         ends = np.cumsum(lengths)
-        for k in np.flatnonzero(np.isin(own, often) | (own >> 31 == 1)).tolist():
+        for k in np.flatnonzero(np.isin(own & np.uint32(0x7FFFFFFF), often) | (own >> 31 == 1)).tolist():
             part = raw[ends[k] - lengths[k] : ends[k]]
             here, held = (int(ids[k]), int(starts[k])), places.get(part)
             if held is None:
@@ -238,13 +239,26 @@ def _second_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield S.span_rows(*np.array(copies, np.int64).T, 1)
     if not places:
         return
-    found, at, n = np.unique(np.array(list(mark_of.values()), np.uint32), return_inverse=True, return_counts=True)
-    parts = [p for p, several in zip(places, ((n > 1) | (found >> 31 == 1))[at.ravel()].tolist()) if several]
-    if parts:
-        where = np.array([places[p] for p in parts], np.int64)
-        spans = repeats(parts, where[:, 0], where[:, 1])
-        if len(spans[0]):
-            yield S.span_rows(*spans, 1)
+    marks = np.array([m & 0x7FFFFFFF for m in mark_of.values()], np.int64)
+    alone = np.array([m >> 31 == 0 for m in mark_of.values()])
+    _, at, n = np.unique(marks, return_inverse=True, return_counts=True)
+    parts = list(places)
+    chosen = np.flatnonzero((n[at.ravel()] > 1) | ~alone)
+    chosen = chosen[np.argsort(marks[chosen], kind="stable")]
+    # Fragments of one minimiser stay together.
+    group, size, start = [], 0, 0
+    for x, k in enumerate(chosen.tolist()):
+        if x > start and size > MERGE_BYTES and marks[k] != marks[chosen[x - 1]]:
+            group.append((start, x))
+            start, size = x, 0
+        size += len(parts[k])
+    for x, y in [*group, (start, len(chosen))]:
+        some = [parts[k] for k in chosen[x:y].tolist()]
+        if some:
+            where = np.array([places[p] for p in some], np.int64)
+            spans = repeats(some, where[:, 0], where[:, 1])
+            if len(spans[0]):
+                yield S.span_rows(*spans, 1)
 
 
 def repeated_spans(df: DataFrame) -> DataFrame:
