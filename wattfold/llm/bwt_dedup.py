@@ -83,7 +83,7 @@ class _Sent:
             yield S.span_rows(*np.array(self.copies, np.int64).T, self.buckets)
         by_bucket: dict[int, tuple[list, list, list, list]] = {}
         for part, (i, a, key) in self.places.items():
-            own = by_bucket.setdefault((key & (1 << 44) - 1) * self.buckets >> 44, ([], [], [], []))
+            own = by_bucket.setdefault((key & (1 << 44) - 1) % self.buckets, ([], [], [], []))
             for x, y in zip(own, (i, a, key & 0x7FFFFFFF | key >> 44 << 31, part)):
                 x.append(y)
         self.places, self.copies, self.size = {}, [], 0
