@@ -80,3 +80,15 @@ def test_bands_take_the_lower_bound_and_keep_null(spark):
 def test_labels_and_keys(spark):
     assert column(spark, ["PAR", "XXX", None], M.label("c", REASONS)) == ["Parecer de acesso", None, None]
     assert column(spark, [dt.date(2025, 1, 31)], M.date_key("c"), "date") == [20250131]
+
+
+def test_decimals_refuse_what_is_no_plain_number(spark):
+    texts = ["Infinity", "inf", "+Inf", "NaN", "1d", "1.5f", "1e400x", "1,234.5", "-.5", "7.", "+2e3"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(C.clean_decimal("t")).collect()]
+    assert got == [None] * 7 + [1234.5, -0.5, 7.0, 2000.0]
+
+
+def test_hours_keep_rows_without_a_time(spark):
+    df = spark.sql("select * from values (timestamp_ntz'2025-03-30 02:59:59.999'), (cast(null as timestamp_ntz)) as t(x)")
+    got = df.groupBy(M.hour_start("x").alias("h")).count().collect()
+    assert sorted((str(r["h"]), r["count"]) for r in got) == [("2025-03-30 02:00:00", 1), ("None", 1)]

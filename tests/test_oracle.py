@@ -1,6 +1,7 @@
 """Every registered query on the smallest given tables, value for value against its SQL text."""
 
 import os
+import re
 
 import pytest
 
@@ -10,6 +11,10 @@ from checks import compare
 SF_DIR = "/root/testdata/sf0.001"
 NO_SQL = {"file_manifest", "manifest_summary", "new_files", "profile_approx", "outliers_approx"}
 
+#: The training-data operators have tests of their own, against plain versions.
+OWN_TESTS = re.compile(r"op\d+_|pipeline$")
+NAMES = sorted(n for n in E.queries() if not OWN_TESTS.match(n))
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
 
 
@@ -22,10 +27,10 @@ def duck():
 
 
 def test_every_query_but_the_listed_ones_has_sql():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_SQL
+    assert set(NAMES) - set(E.oracle_sql()) == NO_SQL
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, duck, name):
     ok, message, _ = compare.compare(spark, duck, name, E.queries()[name], E.oracle_sql().get(name), SF_DIR)
     assert ok, message

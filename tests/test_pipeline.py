@@ -4,19 +4,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import grid
-from wattfold.config import Layers
+from wattfold.config import Layers, Period
 from wattfold.operators.conform import dedupe
 from wattfold.plans import documentation, keys, pipeline, quality, reports as P, silver
 from wattfold.sources import files, tables as T
 from wattfold.sources.bronze import CONTROL_COLUMNS, read_bronze
 
 L = Layers("b", "s", "g")
+WINDOW = Period(2021, 2026, "2025-01", "2026-08")
 
 
 @pytest.fixture(scope="module")
 def ran(spark, tmp_path_factory):
     landing = grid.land(tmp_path_factory.mktemp("landing"))
-    return landing, pipeline.run(spark, landing, L)
+    return landing, pipeline.run(spark, landing, L, WINDOW)
 
 
 def gold(spark, name):
@@ -25,17 +26,23 @@ def gold(spark, name):
 
 def test_files_outside_the_window_are_not_selected(spark, ran):
     landing, result = ran
-    names = {r.arquivo for r in files.selected_files(files.list_files(spark, landing)).collect()}
+    names = {r.arquivo for r in files.selected_files(files.list_files(spark, landing), WINDOW).collect()}
     assert names == {"BALANCO_2025.csv", "BALANCO_2026.csv", "EAR_2025.csv", "EOLICA_2025_06.csv", "SOLAR_2025_06.csv", "CAPACIDADE.csv"}
     assert result["manifesto"]["linhas"] == 6
 
 
+def test_without_a_window_every_named_file_is_selected(spark, ran):
+    landing, _ = ran
+    names = {r.arquivo for r in files.selected_files(files.list_files(spark, landing)).collect()}
+    assert {"BALANCO_2019.csv", "EOLICA_2024_12.csv", "BALANCO_2025.csv", "SOLAR_2025_06.csv"} <= names and len(names) == 8
+
+
 def test_manifest_marks_known_files_and_finds_new_ones(spark, ran):
     landing, _ = ran
-    pipeline.run_manifest(spark, landing, L)
+    pipeline.run_manifest(spark, landing, L, WINDOW)
     m = spark.table("b._manifesto_ingestao")
     assert {r.status for r in m.collect()} == {"cache"} and m.columns[-1] == "_ingest_ts"
-    assert files.new_files(files.selected_files(files.list_files(spark, landing)), m).count() == 0
+    assert files.new_files(files.selected_files(files.list_files(spark, landing), WINDOW), m).count() == 0
     assert files.new_files(files.list_files(spark, landing), m).count() == 2
     assert files.manifest_summary(m).filter("dataset = 'balanco_energia_subsistema'").first().arquivos == 2
 

@@ -118,9 +118,9 @@ class Layers:
 
 @dataclass(frozen=True)
 class Period:
-    """Inclusive window of the files to load: years for yearly files, months for monthly ones."""
+    """Inclusive window of the files to load: years for yearly files, months for monthly ones. Open unless the caller sets it."""
 
-    first_year: int = 2021
-    last_year: int = 2026
-    first_month: str = "2025-01"
-    last_month: str = "2026-08"
+    first_year: int = 0
+    last_year: int = 9999
+    first_month: str = "0000-01"
+    last_month: str = "9999-12"

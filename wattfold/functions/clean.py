@@ -13,6 +13,9 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"
+
+
 def is_sentinel(text: Column, sentinels=SENTINELS) -> Column:
     """True for a no-value text. A lookup in one constant array keeps the generated code of wide tables small."""
     return F.array_contains(F.array(*[F.lit(s) for s in sentinels]), text)
@@ -25,13 +28,16 @@ def clean_text(c, sentinels=SENTINELS, trimmed=False) -> Column:
 
 
 def clean_decimal(c, sentinels=SENTINELS, decimal=".", trimmed=False) -> Column:
-    """Double from text. Commas are thousands separators unless ``decimal=","``; NaN counts as unreadable."""
+    """Double from text. Commas are thousands separators unless ``decimal=","``.
+
+    Only digits with an optional sign, point and exponent are read: NaN, infinities and type suffixes count as unreadable.
+    """
     text = clean_text(c, sentinels, trimmed)
     if decimal == ",":
         text = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     else:
         text = F.replace(text, F.lit(","), F.lit(""))
-    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    return F.when(text.rlike(_NUMBER), text).try_cast("double")
 
 
 def clean_int(c, sentinels=SENTINELS, decimal=".", trimmed=False) -> Column:

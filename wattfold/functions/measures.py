@@ -83,5 +83,6 @@ def month_text(c) -> Column:
 
 
 def hour_start(c) -> Column:
-    """The full hour a wall-clock time falls in; keeps TIMESTAMP_NTZ, unlike ``date_trunc``."""
-    return F.window(_as_col(c), "1 hour")["start"]
+    """The full hour a wall-clock time falls in; keeps TIMESTAMP_NTZ, unlike ``date_trunc``, and rows without a time, unlike ``window``."""
+    c = _as_col(c)
+    return c - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(c), F.date_part(F.lit("SECOND"), c))

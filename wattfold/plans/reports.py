@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wattfold.config import DESCRIPTION_WIDTH, HOUSEHOLD_KWH_PER_MONTH, RATE_FLOOR_MWH
+from wattfold.config import HOUSEHOLD_KWH_PER_MONTH, RATE_FLOOR_MWH
 from wattfold.functions.clean import collapse_whitespace
 from wattfold.functions.measures import ratio_pct
 from wattfold.operators.aggregate import best_row, pivot_matrix, share_of_total, share_within
@@ -400,15 +400,19 @@ def reasons_by_source(star: Star) -> DataFrame:
     ])
 
 
-def top_descriptions(readings: DataFrame, k=12, width: int | None = DESCRIPTION_WIDTH, reason: str | None = None) -> DataFrame:
-    """Descriptions with the most curtailed energy. White space is collapsed; ``width=None`` keeps the whole text."""
+def top_descriptions(readings: DataFrame, k=12, width: int | None = None, reason: str | None = None) -> DataFrame:
+    """Descriptions with the most curtailed energy, grouped by the whole text with white space collapsed.
+
+    ``width`` only adds a short text for display; different descriptions with one beginning stay apart.
+    """
     rows = readings.filter(F.col("dsc_restricao").isNotNull())
     if reason:
         rows = rows.filter(F.col("cod_razao_restricao") == reason)
-    grouped = rows.groupBy("cod_razao_restricao", collapse_whitespace("dsc_restricao", width).alias("descricao")).agg(
+    grouped = rows.groupBy("cod_razao_restricao", collapse_whitespace("dsc_restricao").alias("descricao")).agg(
         F.round(_gwh("corte_mwh"), 1).alias("corte_gwh")
     )
-    return top_k(grouped, "corte_gwh", k, ["cod_razao_restricao", "descricao"])
+    found = top_k(grouped, "corte_gwh", k, ["cod_razao_restricao", "descricao"])
+    return found if width is None else found.withColumn("descricao_curta", F.substring("descricao", 1, width))
 
 
 def reasons_by_block(star: Star, blocks=3) -> DataFrame:

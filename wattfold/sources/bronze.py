@@ -9,23 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 CONTROL_COLUMNS = ["_ingest_ts", "_source_file", "_source_dataset"]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads the rows of a scan with fewer splits than the cluster has cores; a wider scan is left as it is.
-
-    Costs one shuffle of the raw rows, and only where a few unsplittable files would otherwise keep most cores idle
-    through the cleaning that follows. The number of splits is planning information: no job runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_bronze(
     spark: SparkSession, paths: str | list[str], dataset: str, columns: Sequence[str] | None = None, sep=";",
 ) -> DataFrame:
     """All columns as text plus load time, source file and dataset name.
 
-    Quoted fields may contain line breaks, so a file is one task: parallelism is the number of files (see
-    :func:`spread`). ``columns`` fixes the schema; without it the header names are used.
+    Quoted fields may contain line breaks, so a file is one task: parallelism is the number of files. ``columns`` fixes the schema; without it the header names are used.
     """
     reader = spark.read.options(
         header=True, sep=sep, encoding="UTF-8", multiLine=True, quote='"', escape='"', inferSchema=False,
