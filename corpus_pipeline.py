@@ -19,7 +19,8 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: those without a text or without a letter go."""
+    """Documents whose language is known: those without a text or without a letter go, whatever their words otherwise."""
+    queries.importable(spark)
     model = language_id.fit(docs)
     found = docs.select(*COLUMNS, language_id.predicted(spark, model).alias("p"))
     return found.where(F.col("p.lang_pred") != language_id.UNKNOWN).select(*COLUMNS)

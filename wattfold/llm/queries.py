@@ -22,7 +22,8 @@ TOKEN_LIMIT = 1024
 
 
 def importable(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this library from where the driver has it, as PYTHONPATH would."""
+    """Lets Python workers import this library from where the driver has it, as PYTHONPATH would; keeps Arrow batches small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
     if root not in paths:

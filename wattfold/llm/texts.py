@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 #: A null doc_id is carried as this value inside an operator, so that joins and sorts see it, and given back as null.
 NO_ID = -(2**63)
 #: Bytes of text that are turned into numpy arrays at a time. A longer text is one chunk of its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 #: The ASCII characters that separate words: blank and 9 to 13, the set that bytes.split() uses.
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True

@@ -21,7 +21,7 @@ from wattfold.llm import spans as S, texts as T
 
 WINDOW, SEED_WORDS = 20, 4
 #: Bytes of text that a task settles at a time.
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 2_500_000
 _WORD, _WINDOW, _OTHER, _SEED = (T.Roller(i) for i in (21, 22, 23, 24))
 
 
