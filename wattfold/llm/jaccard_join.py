@@ -8,7 +8,8 @@ Sets of word shingles are joined where ``100 * common >= 90 * union`` (a percent
    linked sets agree in one part entirely. Sets are dealt into size levels, each with its own number of parts; a set states its
    parts for its own level and the next, so every linked pair has a part in common. Sets with a common part are candidates,
    chained to the smallest one; components of these chains are the blocks within which all links lie.
-3. A block is dealt into chunks, and every two chunks are joined with a prefix tree: the sets of one are stored in a trie in
+3. A block is dealt into size levels and these into chunks; every two chunks of one level or of neighbouring levels, between
+   which all links lie, are joined with a prefix tree: the sets of one are stored in a trie in
    one global order, frequent elements first, and the tree is walked once for all sets of the other chunk, one vector of
    partial overlaps per node, shared by all sets below it. A subtree is left as soon as no set can reach the bound with the
    elements that remain on its paths.
@@ -30,7 +31,9 @@ from wattfold.llm.components import components
 
 SHINGLE, PERCENT = 3, 90
 #: Sets in a chunk of a block.
-CHUNK = 128
+CHUNK = 256
+#: A chunk's number is its level times this, and its number in the level.
+_LEVEL = 2**20
 #: Documents sampled for frequent shingles, how often one must occur there, and how many are kept at most.
 SAMPLE, OFTEN, MOST_FREQUENT = 10_000, 5, 200_000
 _WORD, _SHINGLE, _PART = (T.Roller(i) for i in (41, 42, 43))
@@ -244,7 +247,7 @@ def tree_join(left: list[np.ndarray], right: list[np.ndarray], percent: int) ->
     order[np.lexsort((values, -counts))] = np.arange(len(values))
     paths = sorted((np.sort(order[np.searchsorted(values, x)]).tolist(), i) for i, x in enumerate(left))
     # Membership of the left sets' elements in the right sets, a row an element.
-    member = np.zeros((len(values), len(right)), np.int32)
+    member = np.zeros((len(values), len(right)), np.uint8)
     for j, x in enumerate(right):
         at = np.searchsorted(values, x)
         at[at == len(values)] = 0
@@ -322,6 +325,11 @@ def _joined_chunks(percent: int):
     return run
 
 
+def _level(percent: int):
+    """The size level of a set by which chunks are formed: linked sets are at most one level apart (the base is a little wider)."""
+    return F.floor(F.log(F.greatest("n_shingles", F.lit(1)).cast("double")) / (1.0001 * np.log(100 / percent)).item()).alias("level")
+
+
 def classes(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links, itself included) of every text.
 
@@ -337,10 +345,18 @@ def classes(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataF
     of = lambda x: class_of.select(F.col("doc_id").alias(x), F.col("first").alias(f"{x}_first"))
     chains = chains.join(of("a"), "a").join(of("b"), "b").select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))
     blocks = T.checkpointed(components(chains).select(F.col("node").alias("doc_id"), F.col("component").alias("block")))
-    sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    chunked = T.checkpointed(blocks.join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks"))))
-    sets = set_rows(docs.join(chunked, "doc_id"), size, True, "block", "chunk", "chunks").dropDuplicates(["doc_id", "digest"])
-    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select(
+    members = blocks.join(slim.select("doc_id", _level(percent)).distinct(), "doc_id")
+    sizes = T.checkpointed(members.groupBy("block", "level").agg(F.ceil(F.count("*") / CHUNK).alias("n")))
+    near = lambda step, name: sizes.select("block", (F.col("level") - step).alias("level"), F.col("n").alias(name))
+    members = members.join(near(0, "same"), ["block", "level"]).join(near(1, "above"), ["block", "level"], "left").join(near(-1, "below"), ["block", "level"], "left")
+    members = T.checkpointed(members.select(
+        "doc_id", "block", "level", F.pmod(F.xxhash64("doc_id"), F.col("same")).alias("chunk"), "same", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("above", "below")),
+    ))
+    sets = set_rows(docs.join(members, "doc_id"), size, True, "block", "level", "chunk", "same", "above", "below")
+    # Rows of one id may have sets of several levels.
+    sets = sets.where(F.col("level") == _level(percent)).dropDuplicates(["doc_id", "digest"])
+    others = " ,".join(f"if({c} > 0, transform(sequence(0L, greatest({c}, 1L) - 1), x -> (level + {step}) * {_LEVEL}L + x), cast(array() as array<bigint>))" for c, step in (("same", 0), ("above", 1), ("below", -1)))
+    met = sets.withColumn("chunk", F.col("level") * _LEVEL + F.col("chunk")).withColumn("other", F.explode(F.expr(f"concat({others})"))).select(
         "block", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"), "chunk", "doc_id", "set",
     )
     met = met.repartition(T.partitions(df.sparkSession), "block", "one", "two").sortWithinPartitions("block", "one", "two")
