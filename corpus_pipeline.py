@@ -91,10 +91,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``, each written to the shared folder and read again."""
     queries.importable(spark)
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{T.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = T.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

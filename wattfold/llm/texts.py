@@ -39,14 +39,17 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; where none is set, one under the warehouse, which all executors share as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Written to the cluster's shared checkpoint folder and cut from its sources."""
+    """Written to the shared folder and cut from its sources."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
