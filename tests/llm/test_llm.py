@@ -182,6 +182,12 @@ def test_jaccard_classes_equal_brute_force(spark, folder):
     assert rows(queries.QUERIES["op10_jaccard_join"](spark, folder)) == brute.jaccard(texts())
 
 
+def test_jaccard_classes_over_many_chunks(spark, folder, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK", 3)
+    df = spark.read.parquet(f"{folder}/documents.parquet")
+    assert rows(jaccard_join.classes(df.union(df.where("doc_id > 60")), 2, 80).distinct()) == brute.jaccard(texts(), 2, 80)
+
+
 def test_part_digests_lose_no_linked_pair():
     rng = np.random.default_rng(6)
     levels = jaccard_join.Levels(90)

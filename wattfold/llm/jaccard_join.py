@@ -8,11 +8,12 @@ Sets of word shingles are joined where ``100 * common >= 90 * union`` (a percent
    linked sets agree in one part entirely. Sets are dealt into size levels, each with its own number of parts; a set states its
    parts for its own level and the next, so every linked pair has a part in common. Sets with a common part are candidates,
    chained to the smallest one; components of these chains are the blocks within which all links lie.
-3. A block is dealt into size levels and these into chunks; every two chunks of one level or of neighbouring levels, between
-   which all links lie, are joined with a prefix tree: the sets of one are stored in a trie in
-   one global order, frequent elements first, and the tree is walked once for all sets of the other chunk, one vector of
-   partial overlaps per node, shared by all sets below it. A subtree is left as soon as no set can reach the bound with the
-   elements that remain on its paths.
+3. A block that fills no more than a chunk is one; a larger one is dealt into size levels and these into chunks. The sets of
+   a chunk travel once, to the task that packs them; compressed together, near copies take little more room than one set.
+   The packed chunk then meets itself and every chunk of its level and of the neighbouring levels, between which all links
+   lie. Two chunks are joined with a prefix tree: the sets of one are stored in a trie in one global order, frequent elements
+   first, and the tree is walked once for all sets of the other chunk, one vector of partial overlaps per node, shared by all
+   sets below it. A subtree is left as soon as no set can reach the bound with the elements that remain on its paths.
 4. The links that connect new parts are kept, and components over the representatives give the classes of documents.
 """
 
@@ -30,9 +31,9 @@ from wattfold.llm import spans as S, texts as T
 from wattfold.llm.components import components
 
 SHINGLE, PERCENT = 3, 90
-#: Sets in a chunk of a block.
-CHUNK = 256
-#: A chunk's number is its level times this, and its number in the level.
+#: Sets in a chunk of a block, and their elements; a chunk holds about as many at most, or one set.
+CHUNK, ELEMENTS = 256, 400_000
+#: A chunk's number is its shelf times this, and its number on the shelf. Shelf 0 is a whole small block, others are a level each.
 _LEVEL = 2**20
 #: Documents sampled for frequent shingles, how often one must occur there, and how many are kept at most.
 SAMPLE, OFTEN, MOST_FREQUENT = 10_000, 5, 200_000
@@ -284,15 +285,46 @@ def tree_join(left: list[np.ndarray], right: list[np.ndarray], percent: int) ->
     return found
 
 
+def _packed_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each chunk's sets in one block, once for each pair of chunks that it is in."""
+    key, rows = None, {}
+
+    def placed() -> Iterator[pa.RecordBatch]:
+        block, shelf, chunk, *partners = key
+        own = shelf * _LEVEL + chunk
+        ids, sets = zip(*rows)
+        packed = S.packed(list(ids), [0] * len(ids), [0] * len(ids), list(sets))
+        for step, n in zip((0, 1, -1), partners):
+            for other in range((shelf + step) * _LEVEL, (shelf + step) * _LEVEL + n):
+                places = (block, min(own, other), max(own, other), own)
+                yield pa.RecordBatch.from_arrays([*(pa.array([x], pa.int64()) for x in places), pa.array([packed], pa.binary())], names=["block", "one", "two", "chunk", "sets"])
+
+    for batch in batches:
+        for *place, i, raw in zip(*(batch.column(k).to_pylist() for k in range(8))):
+            if place != key:
+                if rows:
+                    yield from placed()
+                key, rows = place, {}
+            rows[i, raw] = None  # a repeated row is the same set
+    if rows:
+        yield from placed()
+
+
 def _joined_chunks(percent: int):
     """Spanning links inside each pair of chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
+        key, chunks = None, {}
+
+        def members(chunk: int) -> list[tuple[int, np.ndarray]]:
+            if chunk not in chunks:
+                return []
+            ids, _, _, lengths, raw = S.unpacked(chunks[chunk])
+            return list(zip(ids.tolist(), np.split(np.frombuffer(raw, np.uint64), np.cumsum(lengths[:-1]) // 8)))
 
         def linked() -> Iterator[pa.RecordBatch]:
             one, two = key[1], key[2]
-            left = [(i, s) for c, i, s in rows if c == one]
-            right = [(i, s) for c, i, s in rows if c == two] if one != two else left
+            left = members(one)
+            right = members(two) if one != two else left
             parent: dict[int, int] = {}
 
             def root(x: int) -> int:
@@ -312,14 +344,14 @@ def _joined_chunks(percent: int):
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(6)]
-            for block, one, two, chunk, i, raw in zip(*columns):
-                if (block, one, two) != key:
-                    if rows:
+            columns = [batch.column(k) for k in range(5)]
+            for block, one, two, chunk, packed in zip(*columns):
+                if (place := (block.as_py(), one.as_py(), two.as_py())) != key:
+                    if chunks:
                         yield from linked()
-                    key, rows = (block, one, two), []
-                rows.append((chunk, i, np.frombuffer(raw, np.uint64)))
-        if rows:
+                    key, chunks = place, {}
+                chunks[chunk.as_py()] = packed.as_py()
+        if chunks:
             yield from linked()
 
     return run
@@ -345,21 +377,24 @@ def classes(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataF
     of = lambda x: class_of.select(F.col("doc_id").alias(x), F.col("first").alias(f"{x}_first"))
     chains = chains.join(of("a"), "a").join(of("b"), "b").select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))
     blocks = T.checkpointed(components(chains).select(F.col("node").alias("doc_id"), F.col("component").alias("block")))
-    members = blocks.join(slim.select("doc_id", _level(percent)).distinct(), "doc_id")
-    sizes = T.checkpointed(members.groupBy("block", "level").agg(F.ceil(F.count("*") / CHUNK).alias("n")))
-    near = lambda step, name: sizes.select("block", (F.col("level") - step).alias("level"), F.col("n").alias(name))
-    members = members.join(near(0, "same"), ["block", "level"]).join(near(1, "above"), ["block", "level"], "left").join(near(-1, "below"), ["block", "level"], "left")
+    # Rows of one id may have sets of several levels.
+    levels = slim.groupBy("doc_id", _level(percent)).agg(F.max("n_shingles").alias("elements"))
+    members = T.checkpointed(blocks.join(levels, "doc_id"))
+    chunks = F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("elements") / ELEMENTS))
+    small = members.groupBy("block").agg(chunks.alias("n")).select("block", (F.col("n") == 1).alias("small"))
+    members = T.checkpointed(members.join(small, "block").withColumn("shelf", F.when(F.col("small"), F.lit(0)).otherwise(F.col("level") + 1)))
+    sizes = T.checkpointed(members.groupBy("block", "shelf").agg(chunks.alias("n")))
+    near = lambda step, name: sizes.select("block", (F.col("shelf") - step).alias("shelf"), F.col("n").alias(name))
+    members = members.join(near(0, "same"), ["block", "shelf"]).join(near(1, "above"), ["block", "shelf"], "left").join(near(-1, "below"), ["block", "shelf"], "left")
     members = T.checkpointed(members.select(
-        "doc_id", "block", "level", F.pmod(F.xxhash64("doc_id"), F.col("same")).alias("chunk"), "same", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("above", "below")),
+        "doc_id", "level", "block", "shelf", F.pmod(F.xxhash64("doc_id"), F.col("same")).alias("chunk"), "same", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("above", "below")),
     ))
-    sets = set_rows(docs.join(members, "doc_id"), size, True, "block", "level", "chunk", "same", "above", "below")
-    # Rows of one id may have sets of several levels.
-    sets = sets.where(F.col("level") == _level(percent)).dropDuplicates(["doc_id", "digest"])
-    others = " ,".join(f"if({c} > 0, transform(sequence(0L, greatest({c}, 1L) - 1), x -> (level + {step}) * {_LEVEL}L + x), cast(array() as array<bigint>))" for c, step in (("same", 0), ("above", 1), ("below", -1)))
-    met = sets.withColumn("chunk", F.col("level") * _LEVEL + F.col("chunk")).withColumn("other", F.explode(F.expr(f"concat({others})"))).select(
-        "block", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"), "chunk", "doc_id", "set",
-    )
-    met = met.repartition(T.partitions(df.sparkSession), "block", "one", "two").sortWithinPartitions("block", "one", "two")
+    place = ("block", "shelf", "chunk", "same", "above", "below")
+    sets = set_rows(docs.join(members, "doc_id"), size, True, "level", *place).where(F.col("level") == _level(percent))
+    buckets = T.partitions(df.sparkSession)
+    sets = sets.select(*place, "doc_id", "set").repartition(buckets, "block", "shelf", "chunk").sortWithinPartitions(*place, "doc_id")
+    met = sets.mapInArrow(_packed_chunks, "block long, one long, two long, chunk long, sets binary")
+    met = met.repartition(buckets, "block", "one", "two").sortWithinPartitions("block", "one", "two")
     links = T.checkpointed(met.mapInArrow(_joined_chunks(percent), "a long, b long"))
     roots = components(links).select(F.col("node").alias("first"), "component")
     named = T.checkpointed(firsts.join(roots, "first", "left").select("digest", F.coalesce("component", "first").alias("component_id")))
