@@ -32,7 +32,9 @@ from wattfold.llm.components import components
 
 SHINGLE, PERCENT = 3, 90
 #: Sets in a chunk of a block, and their elements; a chunk holds about as many at most, or one set.
-CHUNK, ELEMENTS = 256, 400_000
+CHUNK, ELEMENTS = 1024, 1_000_000
+#: Cells of a membership table, and the most right sets that a tree is walked for at once.
+CELLS, WIDTH = 32_000_000, 256
 #: A chunk's number is its shelf times this, and its number on the shelf. Shelf 0 is a whole small block, others are a level each.
 _LEVEL = 2**20
 #: Documents sampled for frequent shingles, how often one must occur there, and how many are kept at most.
@@ -247,6 +249,12 @@ def tree_join(left: list[np.ndarray], right: list[np.ndarray], percent: int) ->
     order = np.empty(len(values), np.int64)
     order[np.lexsort((values, -counts))] = np.arange(len(values))
     paths = sorted((np.sort(order[np.searchsorted(values, x)]).tolist(), i) for i, x in enumerate(left))
+    width = int(np.clip(CELLS // len(values), 1, WIDTH))
+    return [(i, first + j) for first in range(0, len(right), width) for i, j in _walked(paths, values, order, right[first : first + width], percent)]
+
+
+def _walked(paths: list[tuple[list[int], int]], values: np.ndarray, order: np.ndarray, right: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """The links of the sets on ``paths`` with the right sets; ``order`` is the rank of each of ``values`` in the global order."""
     # Membership of the left sets' elements in the right sets, a row an element.
     member = np.zeros((len(values), len(right)), np.uint8)
     for j, x in enumerate(right):
