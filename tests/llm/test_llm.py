@@ -199,7 +199,7 @@ def test_part_digests_lose_no_linked_pair():
         a = np.unique(a)
         if 100 * len(np.intersect1d(a, b)) >= 90 * len(np.union1d(a, b)) and (len(a) != len(b) or (a != b).any()):
             common = rng.random()
-            stated = [{(k, d) for k, p in levels.schemes(len(x)) for d in jaccard_join.part_digests(x, (x % np.uint64(1000)).astype(float) / 1000 > common, k, p, levels.spare[k]).tolist()} for x in (a, b)]
+            stated = [{(k, d) for k, p in levels.schemes(len(x)) for d in jaccard_join.part_digests(x, (x % np.uint64(1 + int(50 * common))).astype(np.int64), k, p, levels.spare[k]).tolist()} for x in (a, b)]
             assert stated[0] & stated[1]
 
 

@@ -6,8 +6,9 @@ Sets of word shingles are joined where ``100 * common >= 90 * union`` (a percent
    represented by its smallest doc_id, so copies never meet pairwise.
 2. Two linked sets differ in at most D elements, D known from their sizes. If the range of hashes is divided into D + 1 parts,
    linked sets agree in one part entirely. Sets are dealt into size levels, each with its own number of parts; a set states its
-   parts for its own level and the next, so every linked pair has a part in common. Sets with a common part are candidates,
-   chained to the smallest one; components of these chains are the blocks within which all links lie.
+   parts for its own level and the next, so every linked pair has a part in common. There are more parts than D + 1, and a set
+   states its D + 1 rarest, as counted over all documents: shared passages and formulas seldom make candidates. Sets with a
+   common part are candidates, chained to the smallest one; components of these chains are the blocks within which all links lie.
 3. A block that fills no more than a chunk is one; a larger one is dealt into size levels and these into chunks. The sets of
    a chunk travel once, to the task that packs them; compressed together, near copies take little more room than one set.
    The packed chunk then meets itself and every chunk of its level and of the neighbouring levels, between which all links
@@ -37,8 +38,8 @@ CHUNK, ELEMENTS = 1024, 1_000_000
 CELLS, WIDTH = 32_000_000, 256
 #: A chunk's number is its shelf times this, and its number on the shelf. Shelf 0 is a whole small block, others are a level each.
 _LEVEL = 2**20
-#: Documents sampled for frequent shingles, how often one must occur there, and how many are kept at most.
-SAMPLE, OFTEN, MOST_FREQUENT = 10_000, 5, 200_000
+#: Counters of the frequency sketch as a power of two (16 MB at any input size), and the pieces in which they are summed.
+COUNTER_BITS, SEGMENTS = 22, 64
 _WORD, _SHINGLE, _PART = (T.Roller(i) for i in (41, 42, 43))
 
 
@@ -72,9 +73,9 @@ def most_apart(n: int, percent: int) -> int:
 class Levels:
     """Size levels: level k holds the sizes from start[k] to start[k + 1] - 1, whose partners lie in levels k - 1 to k + 1.
 
-    Linked sets of a level differ in at most D parts. With ``spare`` parts more than D + 1, they agree in at least spare + 1. A
-    set with at most ``spare`` parts that are empty or hold frequent shingles only need not state those: both sets see such an
-    agreeing part alike, and an agreeing part with a rare shingle is left.
+    Linked sets of a level differ in at most D parts. With ``spare`` parts more than D + 1, they agree in at least spare + 1.
+    Each set leaves out its ``spare`` most frequent parts, in an order that both see alike for an agreeing part: of the parts
+    that agree, the rarest has at least ``spare`` more frequent ones in either set, so both state it.
     """
 
     def __init__(self, percent: int):
@@ -86,7 +87,7 @@ class Levels:
             self.start.append(max(a + 1, a * 100 // self.percent + 1))
             top = self.start[-1] - 1
             apart = max(most_apart(m, self.percent) for m in range(a, top + 1)) if top - a < 50 else 2 * top * (100 - self.percent) // (100 + self.percent)
-            spare = apart and max(1, apart // 3)
+            spare = apart and max(1, apart // 2)
             self.parts.append(apart + 1 + spare)
             self.spare.append(spare)
 
@@ -101,16 +102,20 @@ class Levels:
         return [(j, self.parts[j]) for j in (k, k + 1)]
 
 
-def part_digests(values: np.ndarray, rare: np.ndarray, level: int, parts: int, spare: int) -> np.ndarray:
-    """A digest of the elements in each part of the range of hashes; of parts without rare elements only if there are too many."""
+def part_digests(values: np.ndarray, counts: np.ndarray, level: int, parts: int, spare: int) -> np.ndarray:
+    """A digest of the elements in each part of the range of hashes, without the ``spare`` most frequent parts.
+
+    A part is as frequent as its rarest element by ``counts``; an empty part is the most frequent, ties go by digest.
+    """
     part = T.mixed(values ^ np.uint64(level * 7919 + 1)) >> np.uint64(11)
     part = (part.astype(np.float64) * (parts / 2.0**53)).astype(np.int64)
     np.minimum(part, parts - 1, out=part)
     total = np.zeros(parts, np.uint64)
     np.add.at(total, part, T.mixed(values + np.uint64(977)))
     digests = T.mixed(total ^ T.mixed(np.arange(parts, dtype=np.uint64) + np.uint64(level * 1_000_003 + parts)))
-    filled = np.bincount(part[rare], minlength=parts) > 0
-    return digests[filled] if parts - filled.sum() <= spare else digests
+    rarest = np.full(parts, 2**32, np.int64)
+    np.minimum.at(rarest, part, counts)
+    return digests[np.lexsort((digests, rarest))[: parts - spare]]
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
@@ -134,43 +139,60 @@ def set_rows(docs: DataFrame, size: int, whole: bool, *more: str) -> DataFrame:
     return docs.select("doc_id", "text", *more).mapInArrow(run, schema)
 
 
-def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
-    """Hashes of shingles that many documents hold, from a bounded sample of documents; ascending.
+def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
+    """About how many documents hold a shingle, over all documents: 2**COUNTER_BITS counters, addressed by the hash's top bits.
 
-    They only steer the search for candidates: whichever shingles this returns, no linked pair is missed.
+    Counters only steer the search for candidates: whatever they hold, no linked pair is missed. Their number does not depend
+    on the input, so that they fit the driver and a broadcast at any size; shingles that share a counter look more frequent.
     """
-    total = docs.count()
-    share = min(2**30, 2**30 * SAMPLE // max(1, total))
+    each = 2**COUNTER_BITS // SEGMENTS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2**COUNTER_BITS, np.uint32)
         for batch in T.chunks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_sets(batch, size)).view(np.int64))], names=["shingle"])
+            np.add.at(total, _counter(np.concatenate(_sets(batch, size))), np.uint32(1))
+        for k in np.flatnonzero(total.reshape(SEGMENTS, each).any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zstandard.compress(total[k * each : (k + 1) * each].tobytes(), 1)])], names=["segment", "counts"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = totals.setdefault(k, np.zeros(each, np.uint64))
+                own += np.frombuffer(zstandard.decompress(packed.as_py()), np.uint32)
+        for k, own in totals.items():
+            least = np.minimum(own, np.uint64(2**32 - 1)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zstandard.compress(least.tobytes(), 1)])], names=["segment", "counts"])
+
+    schema = "segment long, counts binary"
+    found = docs.mapInArrow(counted, schema).repartition(SEGMENTS, "segment").mapInArrow(summed, schema)
+    counts = np.zeros((SEGMENTS, each), np.uint32)
+    for row in found.collect():  # SEGMENTS rows
+        counts[row["segment"]] = np.frombuffer(zstandard.decompress(bytes(row["counts"])), np.uint32)
+    return counts.ravel()
+
 
-    counts = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < share).mapInArrow(run, "shingle long").groupBy("shingle").count()
-    often = counts.where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT).select("shingle").toPandas()["shingle"]
-    return np.sort(often.to_numpy(np.int64).view(np.uint64))
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
 
 def _candidate_chains(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Candidate links (a, b): each set with the smallest one that has a part in common."""
     buckets = T.partitions(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size))
+    shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, size))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, frequent = Levels(percent), shared.value
+        levels, counts = Levels(percent), shared.value
         for batch in T.chunks(batches, limit=3 * T.CHUNK_BYTES):
             digests, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for part in T.chunks(iter([batch])):
                 sets = _sets(part, size)
-                every = np.concatenate(sets)
-                at = np.searchsorted(frequent, every)
-                at[at == len(frequent)] = 0
-                rare = np.split(frequent[at] != every if len(frequent) else np.ones(len(every), bool), np.cumsum([len(x) for x in sets])[:-1])
-                for i, values, own in zip(part.column(0).to_pylist(), sets, rare):
+                for i, values in zip(part.column(0).to_pylist(), sets):
+                    held = counts[_counter(values)]
                     for level, n in levels.schemes(len(values)) if len(values) else ():
                         if n == 1:
                             continue  # only equal sets can link
-                        stated = part_digests(values, own, level, n, levels.spare[level])
+                        stated = part_digests(values, held, level, n, levels.spare[level])
                         digests.append(stated)
                         owners.append(np.full(len(stated), i, np.int64))
             yield from _stated(np.concatenate(digests), np.concatenate(owners), buckets)
