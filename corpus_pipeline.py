@@ -19,11 +19,15 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: those without a text or without a letter go, whatever their words otherwise."""
+    """Documents with a letter, their lang as the model tells it; those without a text or a letter go, whatever their words otherwise.
+
+    Where no label could be learnt, lang stays as it came.
+    """
     queries.importable(spark)
     model = language_id.fit(docs)
     found = docs.select(*COLUMNS, language_id.predicted(spark, model).alias("p"))
-    return found.where(F.col("p.lang_pred") != language_id.UNKNOWN).select(*COLUMNS)
+    lang = F.col("p.lang_pred") if model.languages else F.col("lang").cast("string")
+    return found.where("p.letters").withColumn("lang", lang).select(*COLUMNS)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,3 +243,22 @@ def test_pipeline_keeps_what_it_should(spark, folder):
     last = corpus_pipeline.run(spark, folder)
     assert last.where(~F.col("round_trip") & ~F.col("doc_id").isin([i for i, t in texts() if t and ("▁" in t)])).count() == 0
     assert json.dumps(last.columns) == '["doc_id", "source", "ids", "n_tokens", "round_trip"]'
+
+
+def test_pipeline_writes_the_language_it_finds(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    own = {"aa": "thaing wotha ingwo", "bb": "eauque lequele eaule"}
+    made = [(i, f"{own[x]} {i}", x if i < 100 else None, "s", 9) for i in range(120) for x in [("aa", "bb")[i % 2]]] + [(200, "12 --", "aa", "s", 5), (201, None, "bb", "s", 0)]
+    kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(made, schema), "").collect()
+    assert sorted((r["doc_id"], r["lang"]) for r in kept) == [(i, ("aa", "bb")[i % 2]) for i in range(120)]
+
+
+def test_pipeline_keeps_documents_where_nothing_is_learnt(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    made = [(1, "clean text", None, "s", 10), (2, "été", None, None, 3), (3, "12 --", None, "s", 5), (4, None, None, "s", 0), (None, "x", "en", "s", 1)]
+    kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(made, schema), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"], r["lang"]) for r in kept) == [(0, "x", "en"), (1, "clean text", None), (2, "été", None)]

@@ -132,13 +132,14 @@ def fit(df: DataFrame) -> Model:
 
 
 def predicted(spark, model: Model, text: str = "text") -> Column:
-    """A struct of lang_pred and score for a text column. The model, of bounded size, is a broadcast variable."""
+    """A struct of lang_pred, score and letters (whether the text has one) for a text column. The model, of bounded size, is a broadcast variable."""
     shared = spark.sparkContext.broadcast(model)
 
-    @pandas_udf("lang_pred string, score double")
+    @pandas_udf("lang_pred string, score double, letters boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        languages, scores = shared.value.predict([None if x is None else x for x in texts.tolist()])
-        return pd.DataFrame({"lang_pred": languages, "score": scores})
+        own = [None if x is None else x for x in texts.tolist()]
+        languages, scores = shared.value.predict(own)
+        return pd.DataFrame({"lang_pred": languages, "score": scores, "letters": [x is not None and _LETTER.search(x) is not None for x in own]})
 
     return predict(F.col(text).cast("string"))
 
