@@ -262,3 +262,20 @@ def test_pipeline_keeps_documents_where_nothing_is_learnt(spark):
     made = [(1, "clean text", None, "s", 10), (2, "été", None, None, 3), (3, "12 --", None, "s", 5), (4, None, None, "s", 0), (None, "x", "en", "s", 1)]
     kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(made, schema), "").collect()
     assert sorted((r["doc_id"] or 0, r["text"], r["lang"]) for r in kept) == [(0, "x", "en"), (1, "clean text", None), (2, "été", None)]
+
+
+def test_byte_dedup_of_a_long_periodic_text(spark, tmp_path):
+    made = [(1, "a" * 200_000), (2, "b" * 150), (3, "ab" * 80_000)]
+    spark.createDataFrame(made, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows(queries.QUERIES["op7_bwt_dedup"](spark, str(tmp_path))) == brute.byte_dedup(made)
+
+
+def test_shards_where_the_last_part_straddles_a_cut(monkeypatch):
+    monkeypatch.setattr(bwt_dedup, "SHARD_BYTES", 1000)
+    rng = random.Random(8)
+    made = [rng.randbytes(150) for _ in range(13)]
+    parts = [x + made[0] for x in made[:10]]  # 3000 bytes
+    parts[-1] = parts[-1][:-1]  # the multiple 3000 lies inside the last part
+    parts.append(made[11])
+    found = bwt_dedup.repeats(parts, np.arange(11), np.zeros(11, np.int64))
+    assert list(zip(*(x.tolist() for x in found))) == [(k, 150, len(parts[k])) for k in range(10)]

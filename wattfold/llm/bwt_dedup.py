@@ -184,6 +184,7 @@ def repeats(parts: list[bytes], ids: np.ndarray, starts: np.ndarray) -> tuple[np
     raw = b"".join(parts)
     each = max(SHARD_BYTES, len(raw) // 50_000)
     cuts = np.unique(np.searchsorted(bounds, np.arange(0, len(raw), each), side="left"))
+    cuts = cuts[cuts < len(parts)]  # a multiple inside the last part begins no shard
     shards = [Shard(raw[bounds[a] : bounds[b]], lengths[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(parts)))]
     steps = LENGTH // SYMBOL
     order, group = merge(shards, steps)
