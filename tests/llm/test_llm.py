@@ -279,3 +279,18 @@ def test_shards_where_the_last_part_straddles_a_cut(monkeypatch):
     parts.append(made[11])
     found = bwt_dedup.repeats(parts, np.arange(11), np.zeros(11, np.int64))
     assert list(zip(*(x.tolist() for x in found))) == [(k, 150, len(parts[k])) for k in range(10)]
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    rng = random.Random(9)
+    base, clean, more = (" ".join("".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(60)) for _ in range(3))
+    for i in (None, 7):
+        # Copies at the same place under one id, a clean text of that id, and equal rows, which are one document.
+        df = spark.createDataFrame([(i, base + " x"), (i, base + " y"), (i, clean), (i, clean), (8, more), (8, more + " " + base)], "doc_id long, text string")
+        ordered = [r["text"] for r in df.distinct().orderBy("doc_id", F.xxhash64("text")).collect()]
+        want = {n: r for n, r in zip(ordered, brute.window_dedup(list(enumerate(ordered))), strict=True)}
+        found = window_dedup.remove_repeats(df).collect()
+        assert sorted((r["n_words"], r["n_removed"], brute.sha(r["kept_text"])) for r in found) == sorted([want[n][1:] for n in [*ordered, clean]])
+        want = {n: r for n, r in zip(ordered, brute.byte_dedup(list(enumerate(ordered))), strict=True)}
+        found = bwt_dedup.remove_repeats(df).collect()
+        assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], brute.sha(bytes(r["kept"]))) for r in found) == sorted([want[n][1:] for n in [*ordered, clean]])

@@ -55,17 +55,22 @@ def fragments(texts: T.Utf8) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return doc[begin], first[begin] - start, first[end] + LENGTH - start, least[begin] | (several.astype(np.uint64) << np.uint64(44))
 
 
+def _columns(rows: list[tuple]) -> np.ndarray:
+    """Ids, twins and the rest of rows (key, ...)."""
+    return np.array([(*key, *rest) for key, *rest in rows], np.int64).T
+
+
 class _Sent:
     """What a task has gathered: the first place of every distinct fragment, and the spans of its later copies."""
 
     def __init__(self, buckets: int):
         self.buckets, self.places, self.copies, self.size = buckets, {}, [], 0
 
-    def add(self, ids: np.ndarray, texts: T.Utf8) -> None:
+    def add(self, keys: list[tuple[int, int]], texts: T.Utf8) -> None:
         doc, first, last, least = fragments(texts)
         places, copies = self.places, self.copies
         base = texts.bounds[doc]
-        for i, a, b, at, key in zip(ids[doc].tolist(), first.tolist(), last.tolist(), base.tolist(), least.tolist()):
+        for i, a, b, at, key in zip(map(keys.__getitem__, doc.tolist()), first.tolist(), last.tolist(), base.tolist(), least.tolist()):
             part = texts.raw[at + a : at + b]
             held = places.get(part)
             if held is None:
@@ -80,11 +85,11 @@ class _Sent:
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if self.copies:
-            yield S.span_rows(*np.array(self.copies, np.int64).T, self.buckets)
-        by_bucket: dict[int, tuple[list, list, list, list]] = {}
-        for part, (i, a, key) in self.places.items():
-            own = by_bucket.setdefault((key & (1 << 44) - 1) % self.buckets, ([], [], [], []))
-            for x, y in zip(own, (i, a, key & 0x7FFFFFFF | key >> 44 << 31, part)):
+            yield S.document_rows(*_columns(self.copies), self.buckets)
+        by_bucket: dict[int, tuple[list, list, list, list, list]] = {}
+        for part, ((i, twin), a, key) in self.places.items():
+            own = by_bucket.setdefault((key & (1 << 44) - 1) % self.buckets, ([], [], [], [], []))
+            for x, y in zip(own, (i, a, key & 0x7FFFFFFF | key >> 44 << 31, part, twin)):
                 x.append(y)
         self.places, self.copies, self.size = {}, [], 0
         if by_bucket:
@@ -95,7 +100,7 @@ def _first_step(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = _Sent(buckets)
         for batch in T.chunks(batches, limit=CUT_BYTES):
-            sent.add(batch.column(0).to_numpy(zero_copy_only=False), T.Utf8(batch.column(1)))
+            sent.add(list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())), T.Utf8(batch.column(1)))
             if sent.size > SEND_BYTES:
                 yield from sent.rows()
         yield from sent.rows()
@@ -219,15 +224,16 @@ def _second_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # A minimiser that occurs once in all belongs to no repeat.
     found, n = np.unique(np.concatenate(marks) & np.uint32(0x7FFFFFFF), return_counts=True)
     often = found[n > 1]
-    places: dict[bytes, tuple[int, int]] = {}
+    places: dict[bytes, tuple[tuple[int, int], int]] = {}
     mark_of: dict[bytes, int] = {}
     copies = []
     for block in blocks:
         ids, starts, own, lengths, raw = S.unpacked(block)
+        twins = S.twins(lengths, raw)
         ends = np.cumsum(lengths)
         for k in np.flatnonzero(np.isin(own & np.uint32(0x7FFFFFFF), often) | (own >> 31 == 1)).tolist():
             part = raw[ends[k] - lengths[k] : ends[k]]
-            here, held = (int(ids[k]), int(starts[k])), places.get(part)
+            here, held = ((int(ids[k]), int(twins[k])), int(starts[k])), places.get(part)
             if held is None:
                 places[part], mark_of[part] = here, int(own[k])
             elif held < here:
@@ -237,7 +243,7 @@ def _second_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 places[part] = here
     del blocks
     if copies:
-        yield S.span_rows(*np.array(copies, np.int64).T, 1)
+        yield S.document_rows(*_columns(copies), 1)
     if not places:
         return
     marks = np.array([m & 0x7FFFFFFF for m in mark_of.values()], np.int64)
@@ -256,20 +262,22 @@ def _second_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for x, y in [*group, (start, len(chosen))]:
         some = [parts[k] for k in chosen[x:y].tolist()]
         if some:
-            where = np.array([places[p] for p in some], np.int64)
-            spans = repeats(some, where[:, 0], where[:, 1])
-            if len(spans[0]):
-                yield S.span_rows(*spans, 1)
+            ids, twins, starts = _columns([places[p] for p in some])
+            number, ids, twins = S.numbered(ids, twins)
+            doc, first, last = repeats(some, number, starts)
+            if len(doc):
+                yield S.document_rows(ids[doc], twins[doc], first, last, 1)
 
 
 def repeated_spans(df: DataFrame) -> DataFrame:
-    """doc_id, first, last: spans of UTF-8 bytes covered by LENGTH-byte strings that start earlier elsewhere or in the document.
+    """doc_id, twin, span: UTF-8 bytes covered by LENGTH-byte strings that start earlier elsewhere or in the document.
 
-    Spans of a document may overlap. Rows of one doc_id are read as the same document; null ids come before all others.
+    Spans of a document may overlap. Rows of one doc_id and text are read as the same document; null ids come before all
+    others, texts of one id in the order of their digests.
     """
     buckets = T.partitions(df.sparkSession)
-    sent = T.documents(df).mapInArrow(_first_step(buckets), S.ROW)
-    return sent.repartitionById(buckets, "bucket").mapInArrow(_second_step, S.ROW).select("doc_id", "first", "last")
+    sent = S.documents(df).mapInArrow(_first_step(buckets), S.ROW)
+    return S.document_spans(sent.repartitionById(buckets, "bucket").mapInArrow(_second_step, S.ROW))
 
 
 def remove_repeats(df: DataFrame) -> DataFrame:
@@ -291,5 +299,5 @@ def remove_repeats(df: DataFrame) -> DataFrame:
             kept, n, m, k = map(list, zip(*out))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (n, m, k))], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    joined = S.with_spans(T.documents(df), repeated_spans(df))
+    joined = S.with_spans(S.documents(df), repeated_spans(df))
     return joined.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")

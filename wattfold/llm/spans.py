@@ -1,4 +1,8 @@
-"""Packed blocks that travel to buckets, and removed spans on their way back to their documents."""
+"""Packed blocks that travel to buckets, and removed spans on their way back to their documents.
+
+A document of op3 and op7 is an id and a text: its inner key is doc_id and a 64-bit digest of the text, its twin, so that
+texts that share an id (null ids above all) stay apart. Keys are ordered by id, then twin. Equal rows have equal keys.
+"""
 
 from __future__ import annotations
 
@@ -10,20 +14,38 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from wattfold.llm import texts as T
+
 #: What the first step emits and the second returns: a block for a bucket, or a span of a document.
 ROW = "bucket int, doc_id long, first long, last long, block binary"
 _NAMES = ["bucket", "doc_id", "first", "last", "block"]
 
 
-def packed(ids: list[int], starts: list[int], marks: list[int], parts: list[bytes]) -> bytes:
-    """Stretches of documents in one compressed block: ids, places, a 32-bit mark each, lengths and contents."""
+def documents(df: DataFrame, *more: str) -> DataFrame:
+    """doc_id, text, twin and further columns, see texts.documents."""
+    return T.documents(df, *more).select("doc_id", "text", F.xxhash64("text").alias("twin"), *more)
+
+
+def numbered(ids: np.ndarray, twins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each key, in their order, and the id and twin of each number."""
+    order = np.lexsort((twins, ids))
+    ids, twins = ids[order], twins[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (twins[1:] != twins[:-1])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, ids[new], twins[new]
+
+
+def packed(ids: list[int], starts: list[int], marks: list[int], parts: list[bytes], twins: list[int] = ()) -> bytes:
+    """Stretches of documents in one compressed block: ids, places, a 32-bit mark each, lengths, contents, and twins if given."""
     arrays = (np.array(ids, np.int64), np.array(starts, np.int64), np.array(marks, np.uint32), np.array([len(x) for x in parts], np.uint32))
-    raw = b"".join([struct.pack("<q", len(parts)), np.diff(arrays[0], prepend=0).tobytes(), arrays[1].astype(np.uint32).tobytes(), *(a.tobytes() for a in arrays[2:]), *parts])
+    raw = b"".join([struct.pack("<q", len(parts)), np.diff(arrays[0], prepend=0).tobytes(), arrays[1].astype(np.uint32).tobytes(), *(a.tobytes() for a in arrays[2:]), *parts, np.diff(np.array(twins, np.int64), prepend=0).tobytes()])
     return zstandard.compress(raw, 3)
 
 
 def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """ids, places, marks, lengths, and the contents in a row."""
+    """ids, places, marks, lengths, and the contents in a row, with what twins() reads after them."""
     raw = zstandard.decompress(block)
     (n,), at = struct.unpack_from("<q", raw), 8
     ids = np.cumsum(np.frombuffer(raw, np.int64, n, at))
@@ -32,6 +54,11 @@ def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return ids, starts.astype(np.int64), marks, lengths.astype(np.int64), raw[at + 12 * n :]
 
 
+def twins(lengths: np.ndarray, contents: bytes) -> np.ndarray:
+    """The twins that follow the contents of a block."""
+    return np.cumsum(np.frombuffer(contents, np.int64, len(lengths), int(lengths.sum())))
+
+
 def block_rows(buckets: list[int], blocks: list[bytes]) -> pa.RecordBatch:
     n = len(buckets)
     empty = pa.nulls(n, pa.int64())
@@ -44,6 +71,17 @@ def span_rows(ids: np.ndarray, first: np.ndarray, last: np.ndarray, buckets: int
     )
 
 
+def document_rows(ids: np.ndarray, twins: np.ndarray, first: np.ndarray, last: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Spans of documents: id, twin, and the span in one number, see document_spans."""
+    bucket = pa.array(((ids ^ twins) % buckets).astype(np.int32))
+    return pa.RecordBatch.from_arrays([bucket, *(pa.array(x.astype(np.int64)) for x in (ids, twins, first << 32 | last)), pa.nulls(len(ids), pa.binary())], names=_NAMES)
+
+
+def document_spans(found: DataFrame) -> DataFrame:
+    """doc_id, twin and span (first * 2**32 + last) of rows made by document_rows."""
+    return found.select("doc_id", F.col("first").alias("twin"), F.col("last").alias("span"))
+
+
 def runs(ids: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of ``size`` items at (ids, starts), in any order, as spans [first, last) that neither touch nor overlap."""
     if not len(ids):
@@ -71,16 +109,16 @@ def later_copies(keys: list[np.ndarray], ids: np.ndarray, starts: np.ndarray) ->
 
 
 def with_spans(docs: DataFrame, found: DataFrame, *keep: str) -> DataFrame:
-    """Each document with the spans found in it, as one array of structs (null: none)."""
-    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    return docs.join(spans, "doc_id", "left").select("doc_id", "text", *keep, "spans")
+    """Each document with the spans found in it, as one array of numbers (null: none)."""
+    spans = found.groupBy("doc_id", "twin").agg(F.collect_list("span").alias("spans"))
+    return docs.join(spans, ["doc_id", "twin"], "left").select("doc_id", "text", *keep, "spans")
 
 
 def span_lists(column: pa.Array) -> Iterator[list[tuple[int, int]]]:
     """Sorted spans of each row, with touching ones joined."""
     for row in column.to_pylist():
         out: list[list[int]] = []
-        for s in sorted((s["first"], s["last"]) for s in row or ()):
+        for s in ((x >> 32, x & 0xFFFFFFFF) for x in sorted(row or ())):
             if out and s[0] <= out[-1][1]:
                 out[-1][1] = max(out[-1][1], s[1])
             else:

@@ -2,7 +2,7 @@
 
 A window is ``WINDOW`` consecutive words. Each window has a minimiser, the smallest hash of its ``SEED_WORDS``-word stretches;
 consecutive windows that share it travel as one packed string to the bucket of that minimiser, so equal windows always meet.
-There the windows' 128-bit hashes are sorted, and every window but the first of its group, by (doc_id, start), is a copy.
+There the windows' 128-bit hashes are sorted, and every window but the first of its group, by (document, start), is a copy.
 
 Before anything travels, each task settles the windows that repeat within what it holds: a window with an earlier copy in
 the task is a copy whatever else exists, so only the first of each goes to its bucket. A passage that very many documents
@@ -35,14 +35,15 @@ def _first_step(buckets: int, size: int):
             first, doc = T.windows_within(words.counts, size)
             if not len(first):
                 continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)[doc]
+            number, ids, twins = S.numbered(*(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2)))
+            number = number[doc]
             starts = first - words.bounds[doc]
             hashes = words.hashes(texts, _WORD)
             keys = [r.windows(r.sums(hashes), size)[first] for r in (_WINDOW, _OTHER)]
-            copy = S.later_copies(keys, ids, starts)
-            spans = S.runs(ids[copy], starts[copy], size)
-            if len(spans[0]):
-                yield S.span_rows(*spans, buckets)
+            copy = S.later_copies(keys, number, starts)
+            own, *spans = S.runs(number[copy], starts[copy], size)
+            if len(own):
+                yield S.document_rows(ids[own], twins[own], *spans, buckets)
             seeds = _SEED.windows(_SEED.sums(hashes), SEED_WORDS)
             least = T.sliding_minimum(seeds, size - SEED_WORDS + 1)[first]
             left = np.flatnonzero(~copy)
@@ -61,7 +62,7 @@ def _first_step(buckets: int, size: int):
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
             blocks = []
             for x, y in zip(cuts, np.append(cuts[1:], len(bucket))):
-                blocks.append(S.packed(ids[a[x:y]], starts[a[x:y]], np.zeros(y - x, np.uint32), [p + b" " for p in parts[x:y]]))
+                blocks.append(S.packed(ids[number[a[x:y]]], starts[a[x:y]], np.zeros(y - x, np.uint32), [p + b" " for p in parts[x:y]], twins[number[a[x:y]]]))
             yield S.block_rows(bucket[cuts].tolist(), blocks)
 
     return run
@@ -70,7 +71,7 @@ def _first_step(buckets: int, size: int):
 def _second_step(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[list[np.ndarray]] = [[], []]
-        ids, starts = [], []
+        ids, twins, held, starts, parts = [], [], [], [], 0
         for batch in batches:
             passed = batch.filter(batch.column(4).is_null())
             if passed.num_rows:
@@ -84,27 +85,31 @@ def _second_step(size: int):
                 hashes = words.hashes(texts, _WORD)
                 for k, r in zip(keys, (_WINDOW, _OTHER)):
                     k.append(r.windows(r.sums(hashes), size)[first])
-                ids.append(own[doc])
+                ids.append(own)
+                twins.append(S.twins(lengths, raw))
+                held.append(parts + doc)
+                parts += len(own)
                 starts.append(at[doc] + first - words.bounds[doc])
         if ids:
-            whole, places = np.concatenate(ids), np.concatenate(starts)
-            copy = S.later_copies([np.concatenate(k) for k in keys], whole, places)
-            found = S.runs(whole[copy], places[copy], size)
-            if len(found[0]):
-                yield S.span_rows(*found, 1)
+            number, whole, second = S.numbered(np.concatenate(ids), np.concatenate(twins))
+            number, places = number[np.concatenate(held)], np.concatenate(starts)
+            copy = S.later_copies([np.concatenate(k) for k in keys], number, places)
+            found, *spans = S.runs(number[copy], places[copy], size)
+            if len(found):
+                yield S.document_rows(whole[found], second[found], *spans, 1)
 
     return run
 
 
 def repeated_spans(df: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, first, last: spans of words covered by windows that start earlier elsewhere or before in the same document.
+    """doc_id, twin, span: words covered by windows that start earlier elsewhere or before in the same document.
 
-    Spans of a document may overlap. Rows of one doc_id are read as the same document, so a repeated row repeats nothing;
-    null ids come before all others.
+    Spans of a document may overlap. Rows of one doc_id and text are read as the same document, so a repeated row repeats
+    nothing; null ids come before all others, texts of one id in the order of their digests.
     """
     buckets = T.partitions(df.sparkSession)
-    sent = T.documents(df).mapInArrow(_first_step(buckets, size), S.ROW)
-    return sent.repartitionById(buckets, "bucket").mapInArrow(_second_step(size), S.ROW).select("doc_id", "first", "last")
+    sent = S.documents(df).mapInArrow(_first_step(buckets, size), S.ROW)
+    return S.document_spans(sent.repartitionById(buckets, "bucket").mapInArrow(_second_step(size), S.ROW))
 
 
 def remove_repeats(df: DataFrame, size: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -130,4 +135,4 @@ def remove_repeats(df: DataFrame, size: int = WINDOW, keep: tuple[str, ...] = ()
 
     names = ["doc_id", "kept_text", "n_words", "n_removed", *keep]
     schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", `{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
-    return S.with_spans(T.documents(df, *keep), repeated_spans(df, size), *keep).mapInArrow(run, schema)
+    return S.with_spans(S.documents(df, *keep), repeated_spans(df, size), *keep).mapInArrow(run, schema)
