@@ -211,3 +211,26 @@ def test_shuffled_input_gives_the_same_silver(spark, ran):
     a = dedupe(typed, silver.CURTAILMENT_KEY, silver.LATEST)
     b = dedupe(typed.repartition(7, F.rand(3)), silver.CURTAILMENT_KEY, silver.LATEST)
     assert a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
+
+
+def test_rows_without_a_key_are_counted_rejects(spark):
+    from wattfold.config import HEADERS
+    from wattfold.operators.conform import reject_counts
+
+    head = HEADERS["balanco_energia_subsistema"]
+    rows = [{"id_subsistema": i, "din_instante": t} for i, t in (("N", "2025-06-01 00:00:00"), ("SIN", "2025-06-01 00:00:00"), ("-", "2025-06-01 00:00:00"), (None, "2025-06-01 00:00:00"), (None, "x"))]
+    bronze = spark.createDataFrame([tuple(r.get(c) for c in head) + ("f",) for r in rows], ", ".join(f"`{c}` string" for c in [*head, "_source_file"])).withColumn("_ingest_ts", F.current_timestamp())
+    typed = silver.typed_balance(bronze)
+    assert sorted((r.id_subsistema or "", r.eh_agregado) for r in typed.collect()) == [("", False)] * 3 + [("N", False), ("SIN", True)]
+    assert {r.id_subsistema for r in silver.silver_balance(bronze).collect()} == {"N", "SIN"}
+    counts = {r.medida: r.linhas for r in reject_counts(typed, silver.no_key(silver.no_instant(), silver.BALANCE_KEY)).collect()}
+    assert counts == {"linhas_lidas": 5, "linhas_aceitas": 2, "instante_invalido": 1, "chave_ausente": 2}
+
+
+def test_every_landed_file_has_a_status(spark, ran):
+    found = {r.arquivo: r.situacao for r in spark.table("b._situacao_arquivos").collect()}
+    assert len(found) == 8 and found["BALANCO_2019.csv"] == found["EOLICA_2024_12.csv"] == "fora_da_janela"
+    assert sum(x == "selecionado" for x in found.values()) == 6
+    names = [("balanco_energia_subsistema", "BALANCO.csv"), ("restricao_coff_eolica", "EOLICA_2025.csv"), ("outro", "A_2025.csv")]
+    some = spark.createDataFrame([(d, n, n, 1) for d, n in names], "dataset string, arquivo string, path string, bytes long")
+    assert [r.situacao for r in files.file_status(some).orderBy("arquivo").collect()] == ["conjunto_desconhecido", "sem_periodo", "sem_periodo"]

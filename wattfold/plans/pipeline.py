@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattfold.config import BUSINESS_KEYS, HEADERS, Layers, PERIODICITY, Period
-from wattfold.operators.conform import accepted, dedupe, reject_counts
+from wattfold.operators.conform import accepted, dedupe, reject_counts, reject_reason
 from wattfold.plans import dims, facts, keys, quality, silver
 from wattfold.plans.documentation import COLUMN_COMMENTS, TABLE_COMMENTS
 from wattfold.plans.reports import Star
 from wattfold.session import tune
 from wattfold.sources.bronze import read_bronze
-from wattfold.sources.files import list_files, manifest, selected_files
+from wattfold.sources.files import file_status, list_files, manifest, selected_files
 from wattfold.sources.shared import checkpointed
 from wattfold.sources.tables import observed, scan, write_table
 
@@ -27,9 +27,14 @@ def create_layers(spark: SparkSession, layers: Layers = Layers()) -> None:
 
 
 def run_manifest(spark: SparkSession, landing: str, layers: Layers = Layers(), period: Period = Period()) -> dict:
-    """Records the landed files of the window in ``_manifesto_ingestao``, marking those already recorded."""
+    """Records the landed files of the window in ``_manifesto_ingestao``, marking those already recorded.
+
+    ``_situacao_arquivos`` says of every landed file whether it is loaded, and if not, why.
+    """
     table = f"{layers.bronze}._manifesto_ingestao"
-    files = selected_files(list_files(spark, landing), period)
+    landed = list_files(spark, landing)
+    _documented(file_status(landed, period), layers.bronze, "_situacao_arquivos")
+    files = selected_files(landed, period)
     known = None
     if spark.catalog.tableExists(table):
         # the old rows must outlive the table they are in, which is replaced below
@@ -53,7 +58,7 @@ def run_bronze(spark: SparkSession, landing: str, layers: Layers = Layers(), per
 def typed_tables(spark: SparkSession, layers: Layers = Layers()) -> dict[str, tuple]:
     """Silver table name to typed frame, reject rules and business key."""
     b = lambda name: scan(spark, layers.bronze, name)
-    return {
+    tables = {
         "balanco_subsistema_horario": (silver.typed_balance(b("balanco_energia_subsistema")), silver.no_instant(), silver.BALANCE_KEY),
         "ear_subsistema_diario": (silver.typed_storage(b("ear_diario_subsistema")), silver.no_date(), silver.STORAGE_KEY),
         "restricao_coff_usina": (
@@ -61,19 +66,25 @@ def typed_tables(spark: SparkSession, layers: Layers = Layers()) -> dict[str, tu
         ),
         "capacidade_instalada_ug": (silver.typed_capacity(b("capacidade_geracao")), silver.no_power(), silver.CAPACITY_KEY),
     }
+    return {name: (typed, silver.no_key(rules, key), key) for name, (typed, rules, key) in tables.items()}
 
 
 def run_silver(spark: SparkSession, layers: Layers = Layers()) -> dict[str, dict]:
-    """Writes the silver tables. Rows read, rejected and kept come from the write itself: one run per table."""
+    """Writes the silver tables. Rows read, rejected and kept come from the write itself: one run per table.
+
+    A row counts for the first rule it breaks; ``chave_ausente`` is stated where it rejects a row.
+    """
     result = {}
     for name, (typed, rules, key) in typed_tables(spark, layers).items():
-        counts = {"linhas_lidas": F.count(F.lit(1)), **{r: F.count_if(bad) for r, bad in rules.items()}}
+        why = reject_reason(rules)
+        counts = {"linhas_lidas": F.count(F.lit(1)), **{r: F.count_if(F.coalesce(why == r, F.lit(False))) for r in rules}}
         watched, watch = observed(typed, f"read_{name}", counts)
         latest = [c for c in silver.LATEST if c in typed.columns]
         written = _documented(dedupe(accepted(watched, rules), key, latest), layers.silver, name)
         seen = watch.get
         rejected = sum(seen[r] for r in rules)
-        result[name] = {**seen, **written, "duplicatas_removidas": seen["linhas_lidas"] - rejected - written["linhas"]}
+        shown = {k: n for k, n in seen.items() if n or k != "chave_ausente"}
+        result[name] = {**shown, **written, "duplicatas_removidas": seen["linhas_lidas"] - rejected - written["linhas"]}
     return result
 
 

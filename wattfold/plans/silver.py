@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,13 +90,22 @@ def no_power() -> dict[str, Column]:
     return {"potencia_ausente": F.col("potencia_efetiva_mw").isNull()}
 
 
+def no_key(rules: Mapping[str, Column], key: Sequence[str]) -> dict[str, Column]:
+    """The rules, and after them one for rows without a full business key, of which deduplication would keep one in all."""
+    return {**rules, "chave_ausente": reduce(or_, [F.col(c).isNull() for c in key])}
+
+
+def is_total() -> Column:
+    return F.coalesce(F.col("id_subsistema") == TOTAL_ROW, F.lit(False))
+
+
 def typed_balance(bronze: DataFrame) -> DataFrame:
     """Subsystem × hour before rejects and duplicates are removed; the national total row is flagged, not removed."""
     base = conform(bronze, BALANCE_SPEC, CONTROL)
     intermittent = null_as_zero_sum("ger_eolica_mwmed", "ger_solar_mwmed")
     return base.select(
         "*",
-        (F.col("id_subsistema") == TOTAL_ROW).alias("eh_agregado"),
+        is_total().alias("eh_agregado"),
         null_as_zero_sum("ger_hidraulica_mwmed", "ger_termica_mwmed", "ger_eolica_mwmed", "ger_solar_mwmed").alias(
             "ger_total_mwmed"
         ),
@@ -106,7 +117,7 @@ def typed_balance(bronze: DataFrame) -> DataFrame:
 
 def typed_storage(bronze: DataFrame) -> DataFrame:
     base = conform(bronze, STORAGE_SPEC, CONTROL)
-    return base.select("*", (F.col("id_subsistema") == TOTAL_ROW).alias("eh_agregado"))
+    return base.select("*", is_total().alias("eh_agregado"))
 
 
 def typed_curtailment(wind: DataFrame, solar: DataFrame) -> DataFrame:
@@ -135,8 +146,8 @@ def typed_capacity(bronze: DataFrame) -> DataFrame:
 
 
 def finish(typed: DataFrame, rejects: Mapping[str, Column], key: Sequence[str], latest_by=LATEST) -> DataFrame:
-    """Drop rejects, then keep the latest row per business key."""
-    return dedupe(accepted(typed, rejects), key, [c for c in latest_by if c in typed.columns])
+    """Drop rejects and rows without a full key, then keep the latest row per business key."""
+    return dedupe(accepted(typed, no_key(rejects, key)), key, [c for c in latest_by if c in typed.columns])
 
 
 def silver_balance(bronze: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattfold.config import PERIODICITY, Period
 
@@ -26,17 +26,35 @@ def list_files(spark: SparkSession, folder: str, pattern="*.csv") -> DataFrame:
     )
 
 
+def named_period(periodicity: str) -> Column:
+    """The year (yearly) or month (monthly) that a file's name ends in; NULL where it gives none."""
+    if periodicity == "yearly":
+        return F.regexp_extract("arquivo", r"_(\d+)\.[^.]+$", 1).try_cast("int")
+    if periodicity == "monthly":
+        return F.nullif(F.regexp_replace(F.regexp_extract("arquivo", r"_(\d+_\d+)\.[^.]+$", 1), "_", "-"), F.lit(""))
+    raise ValueError(f"unknown periodicity: {periodicity}")
+
+
+def _inside(periodicity: str, period: Period) -> Column:
+    bounds = (period.first_year, period.last_year) if periodicity == "yearly" else (period.first_month, period.last_month)
+    return named_period(periodicity).between(*bounds)
+
+
 def in_period(files: DataFrame, periodicity: str, period: Period = Period()) -> DataFrame:
     """Files whose name ends in a period inside the window: ``_2025.csv`` (yearly) or ``_2025_06.csv`` (monthly)."""
     if periodicity == "single":
         return files
-    if periodicity == "yearly":
-        year = F.regexp_extract("arquivo", r"_(\d+)\.[^.]+$", 1).try_cast("int")
-        return files.filter(year.between(period.first_year, period.last_year))
-    if periodicity == "monthly":
-        month = F.regexp_replace(F.regexp_extract("arquivo", r"_(\d+_\d+)\.[^.]+$", 1), "_", "-")
-        return files.filter(month.between(period.first_month, period.last_month))
-    raise ValueError(f"unknown periodicity: {periodicity}")
+    return files.filter(_inside(periodicity, period))
+
+
+def file_status(files: DataFrame, period: Period = Period(), periodicity=PERIODICITY) -> DataFrame:
+    """Every landed file and its ``situacao``: selecionado, fora_da_janela, sem_periodo or conjunto_desconhecido."""
+    status = F.lit("conjunto_desconhecido")
+    for name, kind in periodicity.items():
+        own = F.lit("selecionado") if kind == "single" else (
+            F.when(named_period(kind).isNull(), "sem_periodo").when(_inside(kind, period), "selecionado").otherwise("fora_da_janela"))
+        status = F.when(F.col("dataset") == name, own).otherwise(status)
+    return files.select("dataset", "arquivo", F.col("path").alias("caminho_volume"), "bytes", status.alias("situacao"))
 
 
 def selected_files(files: DataFrame, period: Period = Period(), periodicity=PERIODICITY) -> DataFrame:
