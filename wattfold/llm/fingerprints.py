@@ -25,20 +25,13 @@ from wattfold.llm import texts as T
 SHINGLE = 5
 #: One hash in so many is kept.
 SCALE = 4
-_BITS = 48
-_WORD, _SHINGLE = T.Roller(11), T.Roller(12)
+_BITS, _KEY = 48, b"fingerprints"
 
 
 def sketches(texts: T.Utf8, size: int = SHINGLE, scale: int = SCALE) -> list[np.ndarray]:
     """For each text its kept hashes, ascending and distinct."""
-    words = T.Words(texts)
-    sums = _SHINGLE.sums(words.hashes(texts, _WORD))
-    first, doc = T.windows_within(words.counts, size)
-    last = first + size
-    short = np.flatnonzero((words.counts > 0) & (words.counts < size))
-    first, last = np.concatenate([first, words.bounds[short]]), np.concatenate([last, words.bounds[short + 1]])
-    doc = np.concatenate([doc, short])
-    value = _SHINGLE.stretch(sums, first, last) >> np.uint64(64 - _BITS)
+    doc, value, _ = T.shingles(texts, size, _KEY)
+    value >>= np.uint64(64 - _BITS)
     smallest = np.full(len(texts), np.iinfo(np.uint64).max, dtype=np.uint64)
     np.minimum.at(smallest, doc, value)
     keep = (value < np.uint64((1 << _BITS) // scale)) | (value == smallest[doc])

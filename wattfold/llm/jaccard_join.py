@@ -2,8 +2,9 @@
 
 Sets of word shingles are joined where ``100 * common >= 90 * union`` (a percentage parameter). The way:
 
-1. Each text becomes the ascending hashes of its distinct shingles and a 128-bit digest of that set. Equal sets form a class,
-   represented by its smallest doc_id, so copies never meet pairwise.
+1. Each text becomes the ascending 64-bit hashes of its distinct shingles and a 128-bit digest of the set of 128-bit shingle
+   hashes. Equal digests form a class, represented by its smallest document, so copies never meet pairwise. A document is an
+   id and a text (see spans), so texts that share an id, null above all, are documents of their own.
 2. Two linked sets differ in at most D elements, D known from their sizes. If the range of hashes is divided into D + 1 parts,
    linked sets agree in one part entirely. Sets are dealt into size levels, each with its own number of parts; a set states its
    parts for its own level and the next, so every linked pair has a part in common. There are more parts than D + 1, and a set
@@ -14,7 +15,7 @@ Sets of word shingles are joined where ``100 * common >= 90 * union`` (a percent
    The packed chunk then meets itself and every chunk of its level and of the neighbouring levels, between which all links
    lie. Two chunks are joined with a prefix tree: the sets of one are stored in a trie in one global order, frequent elements
    first, and the tree is walked once for all sets of the other chunk, one vector of partial overlaps per node, shared by all
-   sets below it. A subtree is left as soon as no set can reach the bound with the elements that remain on its paths.
+   sets below it. A path is left as soon as no set can reach the bound with the elements that remain on it.
 4. The links that connect new parts are kept, and components over the representatives give the classes of documents.
 """
 
@@ -40,23 +41,19 @@ CELLS, WIDTH = 32_000_000, 256
 _LEVEL = 2**20
 #: Counters of the frequency sketch as a power of two (16 MB at any input size), and the pieces in which they are summed.
 COUNTER_BITS, SEGMENTS = 22, 64
-_WORD, _SHINGLE, _PART = (T.Roller(i) for i in (41, 42, 43))
-
-
-def shingle_sets(texts: T.Utf8, size: int) -> list[np.ndarray]:
-    """For each text the ascending hashes of its distinct shingles; fewer words than a shingle are one shingle."""
-    words = T.Words(texts)
-    sums = _SHINGLE.sums(words.hashes(texts, _WORD))
-    first, doc = T.windows_within(words.counts, size)
-    short = np.flatnonzero((words.counts > 0) & (words.counts < size))
-    value = _SHINGLE.stretch(sums, np.concatenate([first, words.bounds[short]]), np.concatenate([first + size, words.bounds[short + 1]]))
-    doc = np.concatenate([doc, short])
-    order = np.lexsort((value, doc))
-    value, doc = value[order], doc[order]
+_KEY = b"jaccard"
+
+
+def shingle_sets(texts: T.Utf8, size: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each text the ascending hashes of its distinct shingles, and as many bits again of each; fewer words than a shingle are one."""
+    doc, value, more = T.shingles(texts, size, _KEY)
+    order = np.lexsort((more, value, doc))
+    value, more, doc = value[order], more[order], doc[order]
     new = np.ones(len(value), dtype=bool)
-    new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-    value, doc = value[new], doc[new]
-    return np.split(value, np.searchsorted(doc, np.arange(1, len(texts)))) if len(texts) else []
+    new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1]) | (more[1:] != more[:-1])
+    value, more, doc = value[new], more[new], doc[new]
+    cuts = np.searchsorted(doc, np.arange(1, len(texts)))
+    return (np.split(value, cuts), np.split(more, cuts)) if len(texts) else ([], [])
 
 
 def most_apart(n: int, percent: int) -> int:
@@ -118,25 +115,35 @@ def part_digests(values: np.ndarray, counts: np.ndarray, level: int, parts: int,
     return digests[np.lexsort((digests, rarest))[: parts - spare]]
 
 
-def _sets(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
+def _sets(batch: pa.RecordBatch, size: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     own = T.Utf8(batch.column(batch.schema.get_field_index("text")))
     return shingle_sets(T.Utf8(pa.array([own.text(i).lower() for i in range(len(own))], pa.large_binary())), size)
 
 
+def _digest(values: np.ndarray, more: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(values.tobytes() + more.tobytes(), digest_size=16).digest() if len(values) else None
+
+
+def _key(digest: bytes) -> int:
+    """A set's key in the search for candidates. Sets that share one are candidates of each other, which costs work, never a result."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def set_rows(docs: DataFrame, size: int, whole: bool, *more: str) -> DataFrame:
-    """doc_id, n_shingles, digest (null: no elements), the columns ``more`` (long), and the set (8 bytes an element) if ``whole``."""
+    """n_shingles, digest and key (null: no elements), the columns ``more``, and the set (8 bytes an element) if ``whole``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches):
-            sets = [x.tobytes() for x in _sets(batch, size)]
+            sets, others = _sets(batch, size)
+            digests = [_digest(x, y) for x, y in zip(sets, others)]
             columns = [
-                batch.column(0), pa.array([len(x) // 8 for x in sets], pa.int64()), pa.array([hashlib.blake2b(x, digest_size=16).digest() if x else None for x in sets], pa.binary()),
-                *(batch.column(2 + k) for k in range(len(more))),
+                pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array([x and _key(x) for x in digests], pa.int64()),
+                *(batch.column(1 + k) for k in range(len(more))),
             ]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())] if whole else columns, names=names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in sets], pa.binary())] if whole else columns, names=names)
 
-    schema = "doc_id long, n_shingles long, digest binary" + "".join(f", {m} long" for m in more) + (", set binary" if whole else "")
+    schema = "n_shingles long, digest binary, key long" + "".join(f", {m} {docs.schema[m].dataType.simpleString()}" for m in more) + (", set binary" if whole else "")
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select("doc_id", "text", *more).mapInArrow(run, schema)
+    return docs.select("text", *more).mapInArrow(run, schema)
 
 
 def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
@@ -150,7 +157,7 @@ def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2**COUNTER_BITS, np.uint32)
         for batch in T.chunks(batches):
-            np.add.at(total, _counter(np.concatenate(_sets(batch, size))), np.uint32(1))
+            np.add.at(total, _counter(np.concatenate(_sets(batch, size)[0])), np.uint32(1))
         for k in np.flatnonzero(total.reshape(SEGMENTS, each).any(axis=1)).tolist():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zstandard.compress(total[k * each : (k + 1) * each].tobytes(), 1)])], names=["segment", "counts"])
 
@@ -177,7 +184,7 @@ def _counter(shingles: np.ndarray) -> np.ndarray:
 
 
 def _candidate_chains(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Candidate links (a, b): each set with the smallest one that has a part in common."""
+    """Candidate links (a, b) of set keys: each set with the smallest one that has a part in common."""
     buckets = T.partitions(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, size))
 
@@ -186,10 +193,11 @@ def _candidate_chains(docs: DataFrame, size: int, percent: int) -> DataFrame:
         for batch in T.chunks(batches, limit=3 * T.CHUNK_BYTES):
             digests, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for part in T.chunks(iter([batch])):
-                sets = _sets(part, size)
-                for i, values in zip(part.column(0).to_pylist(), sets):
-                    held = counts[_counter(values)]
-                    for level, n in levels.schemes(len(values)) if len(values) else ():
+                for values, more in zip(*_sets(part, size)):
+                    if not len(values):
+                        continue
+                    i, held = _key(_digest(values, more)), counts[_counter(values)]
+                    for level, n in levels.schemes(len(values)):
                         if n == 1:
                             continue  # only equal sets can link
                         stated = part_digests(values, held, level, n, levels.spare[level])
@@ -293,7 +301,6 @@ def _walked(paths: list[tuple[list[int], int]], values: np.ndarray, order: np.nd
     # Neighbouring paths share their first elements: depth[k] of path k is how many it has in common with the one before.
     stack: list[np.ndarray] = [np.zeros(len(right), np.int32)]
     before: list[int] = []
-    dead = 0  # the depth at which the walk left the previous path, 0 for none
     for path, i in paths:
         n = len(path)
         same = 0
@@ -393,39 +400,46 @@ def _level(percent: int):
 
 
 def classes(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable by links, itself included) of every text.
+    """doc_id, n_shingles and component_id of every text, see documents_of_classes."""
+    return documents_of_classes(df, size, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def documents_of_classes(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, twin (see spans), n_shingles, component_id (smallest doc_id reachable by links, itself included) and leader of every text.
 
     A null or empty text, or one without words, has no shingles and links with nothing; equal sets are linked; repeated rows
     give repeated rows; null ids come before all others; an empty table gives an empty one; other columns are left behind.
-    Ids come as they are inside, see texts.public_id.
+    One document of each component is its leader: the smallest by doc_id, then twin. Ids come as they are inside, see
+    texts.public_id.
     """
-    docs = T.documents(df)
-    slim = T.checkpointed(set_rows(docs, size, False))
-    firsts = T.checkpointed(slim.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first")))
-    class_of = T.checkpointed(slim.join(firsts, "digest").select("doc_id", "first"))
+    docs = S.documents(df)
+    slim = T.checkpointed(set_rows(docs, size, False, "doc_id", "twin"))
+    firsts = T.checkpointed(
+        slim.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "twin")).alias("lead"), F.min("key").alias("key"), F.max("n_shingles").alias("n_shingles"))
+    )
     chains = T.checkpointed(_candidate_chains(docs, size, percent))
-    of = lambda x: class_of.select(F.col("doc_id").alias(x), F.col("first").alias(f"{x}_first"))
-    chains = chains.join(of("a"), "a").join(of("b"), "b").select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))
-    blocks = T.checkpointed(components(chains).select(F.col("node").alias("doc_id"), F.col("component").alias("block")))
-    # Rows of one id may have sets of several levels.
-    levels = slim.groupBy("doc_id", _level(percent)).agg(F.max("n_shingles").alias("elements"))
-    members = T.checkpointed(blocks.join(levels, "doc_id"))
+    blocks = T.checkpointed(components(chains).select(F.col("node").alias("key"), F.col("component").alias("block")))
+    # A node is a number of a distinct set, unique whatever its key; written, so that it stays.
+    members = T.checkpointed(blocks.join(firsts, "key").select("digest", "lead", "block", F.col("n_shingles").alias("elements"), _level(percent), F.monotonically_increasing_id().alias("node")))
     chunks = F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("elements") / ELEMENTS))
     small = members.groupBy("block").agg(chunks.alias("n")).select("block", (F.col("n") == 1).alias("small"))
-    members = T.checkpointed(members.join(small, "block").withColumn("shelf", F.when(F.col("small"), F.lit(0)).otherwise(F.col("level") + 1)))
-    sizes = T.checkpointed(members.groupBy("block", "shelf").agg(chunks.alias("n")))
+    shelved = T.checkpointed(members.join(small, "block").withColumn("shelf", F.when(F.col("small"), F.lit(0)).otherwise(F.col("level") + 1)))
+    sizes = T.checkpointed(shelved.groupBy("block", "shelf").agg(chunks.alias("n")))
     near = lambda step, name: sizes.select("block", (F.col("shelf") - step).alias("shelf"), F.col("n").alias(name))
-    members = members.join(near(0, "same"), ["block", "shelf"]).join(near(1, "above"), ["block", "shelf"], "left").join(near(-1, "below"), ["block", "shelf"], "left")
-    members = T.checkpointed(members.select(
-        "doc_id", "level", "block", "shelf", F.pmod(F.xxhash64("doc_id"), F.col("same")).alias("chunk"), "same", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("above", "below")),
+    placed = shelved.join(near(0, "same"), ["block", "shelf"]).join(near(1, "above"), ["block", "shelf"], "left").join(near(-1, "below"), ["block", "shelf"], "left")
+    placed = T.checkpointed(placed.select(
+        F.col("lead.doc_id").alias("doc_id"), F.col("lead.twin").alias("twin"), F.col("digest").alias("own"), "node", "block", F.col("shelf").cast("long").alias("shelf"),
+        F.pmod(F.xxhash64("node"), F.col("same")).alias("chunk"), "same", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("above", "below")),
     ))
     place = ("block", "shelf", "chunk", "same", "above", "below")
-    sets = set_rows(docs.join(members, "doc_id"), size, True, "level", *place).where(F.col("level") == _level(percent))
+    sets = set_rows(docs.join(placed, ["doc_id", "twin"]), size, True, "own", "node", *place).where("digest = own")
     buckets = T.partitions(df.sparkSession)
-    sets = sets.select(*place, "doc_id", "set").repartition(buckets, "block", "shelf", "chunk").sortWithinPartitions(*place, "doc_id")
+    sets = sets.select(*place, "node", "set").repartition(buckets, "block", "shelf", "chunk").sortWithinPartitions(*place, "node")
     met = sets.mapInArrow(_packed_chunks, "block long, one long, two long, chunk long, sets binary")
     met = met.repartition(buckets, "block", "one", "two").sortWithinPartitions("block", "one", "two")
     links = T.checkpointed(met.mapInArrow(_joined_chunks(percent), "a long, b long"))
-    roots = components(links).select(F.col("node").alias("first"), "component")
-    named = T.checkpointed(firsts.join(roots, "first", "left").select("digest", F.coalesce("component", "first").alias("component_id")))
-    return slim.join(named, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    linked = T.checkpointed(components(links).join(members, "node").select("component", "digest", "lead"))
+    best = linked.groupBy("component").agg(F.min("lead").alias("best"))
+    named = T.checkpointed(firsts.join(linked.join(best, "component").select("digest", "best"), "digest", "left").select("digest", F.coalesce("best", "lead").alias("lead")))
+    own = (F.col("lead.doc_id") == F.col("doc_id")) & (F.col("lead.twin") == F.col("twin"))
+    return slim.join(named, "digest", "left").select("doc_id", "twin", "n_shingles", F.coalesce("lead.doc_id", "doc_id").alias("component_id"), F.coalesce(own, F.lit(True)).alias("leader"))

@@ -14,10 +14,8 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.functions import pandas_udf
 
 from wattfold.llm import texts as T
 
@@ -131,25 +129,31 @@ def fit(df: DataFrame) -> Model:
     return Model(np.unpackbits(bits, axis=1).astype(np.float32), [r["lang"] for r in found])
 
 
-def predicted(spark, model: Model, text: str = "text") -> Column:
-    """A struct of lang_pred, score and letters (whether the text has one) for a text column. The model, of bounded size, is a broadcast variable."""
-    shared = spark.sparkContext.broadcast(model)
+def identified(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
+    """lang_pred, score, letters (whether the text has one) and the columns ``keep`` of every row with a text column.
 
-    @pandas_udf("lang_pred string, score double, letters boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        own = [None if x is None else x for x in texts.tolist()]
-        languages, scores = shared.value.predict(own)
-        return pd.DataFrame({"lang_pred": languages, "score": scores, "letters": [x is not None and _LETTER.search(x) is not None for x in own]})
+    One pass over Arrow batches cut by bytes of text: each text is scored once, whatever is filtered or selected afterwards.
+    The model, of bounded size for each language, is a broadcast variable.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = "lang_pred string, score double, letters boolean" + "".join(f", `{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
+    names = ["lang_pred", "score", "letters", *keep]
+
+    def run(batches):
+        for batch in T.chunks(batches, column="_text"):
+            texts = batch.column(0).to_pylist()
+            languages, scores = shared.value.predict(texts)
+            found = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array([x is not None and _LETTER.search(x) is not None for x in texts], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*found, *(batch.column(1 + k) for k in range(len(keep)))], names=names)
 
-    return predict(F.col(text).cast("string"))
+    return docs.select(F.col("text").cast("string").alias("_text"), *keep).mapInArrow(run, schema)
 
 
 def identify(df: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document.
 
     Null and empty texts get ``und``; whole texts are read, however long; repeated rows give equal rows; without a labelled
-    row every text gets ``und``; an empty table gives an empty one; other columns are left behind.
+    row every text gets ``und``; an empty table gives an empty one; other columns are left behind. Null ids are not held out,
+    nor learnt from.
     """
-    model = model or fit(df)
-    found = df.select("doc_id", held_out().alias("held_out"), predicted(df.sparkSession, model).alias("p"))
-    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
+    return identified(df, model or fit(df), "doc_id").select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

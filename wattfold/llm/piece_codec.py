@@ -33,7 +33,8 @@ REMEMBERED, LONGEST = 1_000_000, 48
 class Codec:
     """Encodes and decodes with one .model file of merge type."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         import ahocorasick
         from sentencepiece import SentencePieceProcessor
 
@@ -179,12 +180,17 @@ class Codec:
         got = [*map(self.known.get, words)]
         if None in got:
             got = [self.ids_of_word(x) if ids is None else ids for x, ids in zip(words, got)]
-            if len(self.known) > REMEMBERED:
+            if len(self.known) > self.remembered:
                 self.known.clear()
-            if len(self.pairs) > REMEMBERED:
+            if len(self.pairs) > self.remembered:
                 self.pairs.clear()
         return [*chain.from_iterable(got)]
 
+    def forget(self) -> None:
+        """Lets go of what was remembered of earlier texts."""
+        self.known.clear()
+        self.pairs.clear()
+
     def words(self, text: str) -> list[str]:
         """A normalised text cut before its runs of blank marks."""
         if f"{BLANK}{BLANK}" in text or "\0" in text:
@@ -232,14 +238,14 @@ def _utf8(raw: bytes) -> str:
         return "".join(out)
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[tuple[str, int], Codec] = {}
 
 
-def codec(path: str) -> Codec:
-    """One codec for each vocabulary and worker."""
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+def codec(path: str, remembered: int = REMEMBERED) -> Codec:
+    """One codec for each vocabulary, bound of its memory (about 230 bytes an entry) and worker."""
+    if (path, remembered) not in _CODECS:
+        _CODECS[path, remembered] = Codec(path, remembered)
+    return _CODECS[path, remembered]
 
 
 def encode(df: DataFrame, path: str) -> DataFrame:

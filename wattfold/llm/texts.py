@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,7 +107,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Roller:
-    """Hashes of any stretch of a sequence from running sums: sum(value[i] * base**i) modulo 2**64, shifted to position 0."""
+    """Hashes of any stretch of a sequence from running sums: sum(value[i] * base**i) modulo 2**64, shifted to position 0.
+
+    For choosing minimisers and for sorting likely equals together only: patterned sequences can collide, so whoever takes
+    equal hashes for equal contents compares the contents.
+    """
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
@@ -159,8 +164,43 @@ class Words:
         self.counts = np.diff(self.bounds)
         self.doc = np.repeat(np.arange(len(texts)), self.counts)
 
-    def hashes(self, texts: Utf8, roller: Roller) -> np.ndarray:
-        return roller.stretch(roller.sums(roller.letters[texts.data]), self.start, self.end)
+    def numbered(self, texts: Utf8) -> tuple[np.ndarray, list[bytes]]:
+        """A number for each word, the same exactly where words are equal, and the distinct words by number."""
+        if not len(self.start):
+            return np.zeros(0, np.int64), []
+        cuts = np.empty(2 * len(self.start), np.int64)
+        cuts[::2], cuts[1::2] = self.start, self.end
+        between = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(texts.raw)])
+        coded = between.take(pa.array(np.arange(0, len(cuts), 2))).dictionary_encode()
+        return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+
+
+def digests(words: list[bytes], key: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of a keyed digest of each word, as two 64-bit numbers."""
+    both = np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=16, key=key).digest() for w in words]), "<u8").reshape(-1, 2)
+    return both[:, 0].astype(np.uint64), both[:, 1].astype(np.uint64)
+
+
+def shingles(texts: Utf8, size: int, key: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text, and 128 bits as two numbers, of every shingle of ``size`` words; a text with fewer words is one shingle.
+
+    Every word is digested with a key and spread anew for its place in the shingle, so that neither characters nor words
+    that repeat in a pattern can cancel out.
+    """
+    words = Words(texts)
+    number, distinct = words.numbered(texts)
+    first, doc = windows_within(words.counts, size)
+    short = np.flatnonzero((words.counts > 0) & (words.counts < size))
+    halves = []
+    for half, value in enumerate(digests(distinct, key)):
+        whole, part = np.zeros(len(first), np.uint64), words.counts[short].astype(np.uint64)
+        for k in range(size):
+            spread = mixed(value + np.uint64((2 * k + half + 1) * 0x9E3779B97F4A7C15 % 2**64))
+            whole += spread[number[first + k]]
+            has = words.counts[short] > k
+            part[has] += spread[number[words.bounds[short[has]] + k]]
+        halves.append(mixed(np.concatenate([whole, part])))
+    return np.concatenate([doc, short]), *halves
 
 
 def windows_within(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

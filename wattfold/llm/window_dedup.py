@@ -2,7 +2,8 @@
 
 A window is ``WINDOW`` consecutive words. Each window has a minimiser, the smallest hash of its ``SEED_WORDS``-word stretches;
 consecutive windows that share it travel as one packed string to the bucket of that minimiser, so equal windows always meet.
-There the windows' 128-bit hashes are sorted, and every window but the first of its group, by (document, start), is a copy.
+There windows are sorted by two hashes, which bring equal ones together; neighbours are then compared word by word, and every
+window but the first of its group, by (document, start), is a copy.
 
 Before anything travels, each task settles the windows that repeat within what it holds: a window with an earlier copy in
 the task is a copy whatever else exists, so only the first of each goes to its bucket. A passage that very many documents
@@ -22,7 +23,8 @@ from wattfold.llm import spans as S, texts as T
 WINDOW, SEED_WORDS = 20, 4
 #: Bytes of text that a task settles at a time.
 BLOCK_BYTES = 2_500_000
-_WORD, _WINDOW, _OTHER, _SEED = (T.Roller(i) for i in (21, 22, 23, 24))
+_WINDOW, _OTHER, _SEED = (T.Roller(i) for i in (22, 23, 24))
+_KEY = b"windows"
 
 
 def _first_step(buckets: int, size: int):
@@ -38,9 +40,10 @@ def _first_step(buckets: int, size: int):
             number, ids, twins = S.numbered(*(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2)))
             number = number[doc]
             starts = first - words.bounds[doc]
-            hashes = words.hashes(texts, _WORD)
+            symbols, distinct = words.numbered(texts)
+            hashes = T.digests(distinct, _KEY)[0][symbols]
             keys = [r.windows(r.sums(hashes), size)[first] for r in (_WINDOW, _OTHER)]
-            copy = S.later_copies(keys, number, starts)
+            copy = S.later_copies(keys, number, starts, symbols, first, size)
             own, *spans = S.runs(number[copy], starts[copy], size)
             if len(own):
                 yield S.document_rows(ids[own], twins[own], *spans, buckets)
@@ -72,6 +75,8 @@ def _second_step(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[list[np.ndarray]] = [[], []]
         ids, twins, held, starts, parts = [], [], [], [], 0
+        known: dict[bytes, int] = {}
+        symbols, at_symbol, n_symbols = [], [], 0
         for batch in batches:
             passed = batch.filter(batch.column(4).is_null())
             if passed.num_rows:
@@ -82,7 +87,11 @@ def _second_step(size: int):
                 texts = T.Utf8(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(own), [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(raw)]))
                 words = T.Words(texts)
                 first, doc = T.windows_within(words.counts, size)
-                hashes = words.hashes(texts, _WORD)
+                number, distinct = words.numbered(texts)
+                symbols.append(np.array([known.setdefault(w, len(known)) for w in distinct], np.int32)[number])
+                at_symbol.append(first + n_symbols)
+                n_symbols += len(number)
+                hashes = T.digests(distinct, _KEY)[0][number]
                 for k, r in zip(keys, (_WINDOW, _OTHER)):
                     k.append(r.windows(r.sums(hashes), size)[first])
                 ids.append(own)
@@ -93,7 +102,7 @@ def _second_step(size: int):
         if ids:
             number, whole, second = S.numbered(np.concatenate(ids), np.concatenate(twins))
             number, places = number[np.concatenate(held)], np.concatenate(starts)
-            copy = S.later_copies([np.concatenate(k) for k in keys], number, places)
+            copy = S.later_copies([np.concatenate(k) for k in keys], number, places, np.concatenate(symbols), np.concatenate(at_symbol), size)
             found, *spans = S.runs(number[copy], places[copy], size)
             if len(found):
                 yield S.document_rows(whole[found], second[found], *spans, 1)
