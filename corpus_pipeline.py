@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wattfold.llm import jaccard_join, language_id, mixture, piece_codec, queries, texts as T, window_dedup
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Stretches of text and pairs that a task of the last stage remembers, about 70 MB.
+REMEMBERED = 300_000
 #: No SQL: the language model, the hashed sample order and the encoding are beyond it. tests/llm holds brute-force versions.
 ORACLE_SQL = None
 
@@ -25,19 +27,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     queries.importable(spark)
     model = language_id.fit(docs)
-    found = docs.select(*COLUMNS, language_id.predicted(spark, model).alias("p"))
-    lang = F.col("p.lang_pred") if model.languages else F.col("lang").cast("string")
-    return found.where("p.letters").withColumn("lang", lang).select(*COLUMNS)
+    found = language_id.identified(docs, model, *COLUMNS)
+    lang = F.col("lang_pred") if model.languages else F.col("lang").cast("string")
+    return found.where("letters").withColumn("lang", lang).select(*COLUMNS)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id: word shingles of five, likeness 0.8 or more.
 
-    Rows of one id and text are the same document and stay as they are; documents without words stay.
+    Texts that share an id, null above all, are documents of their own, ordered by a digest of the text. Rows of one id and
+    text are the same document and stay as they are; documents without words stay.
     """
-    found = jaccard_join.classes(docs, size=5, percent=80)
-    leaders = T.checkpointed(found.where("doc_id = component_id").select(T.public_id()).distinct())
-    return docs.join(leaders, docs["doc_id"].eqNullSafe(leaders["doc_id"]), "left_semi").select(*COLUMNS)
+    found = jaccard_join.documents_of_classes(docs, size=5, percent=80)
+    leaders = T.checkpointed(found.where("leader").select(F.col("doc_id").alias("id"), F.col("twin").alias("of")).distinct())
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(T.NO_ID))).withColumn("_twin", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return keyed.join(leaders, (keyed["_id"] == leaders["id"]) & (keyed["_twin"] == leaders["of"]), "left_semi").select(*COLUMNS)
 
 
 def remove_repeated_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +73,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     path = queries.tokenizer("piece_bpe_32k.model")
 
     def run(batches):
-        codec = piece_codec.codec(path)
+        codec = piece_codec.codec(path, REMEMBERED)
         for batch in T.chunks(batches):
             texts = batch.column(1).to_pylist()
             ids = [codec.encode(x) for x in texts]
@@ -78,6 +82,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
                 [batch.column(0), batch.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array([len(i) for i in ids], pa.int64()), pa.array(back, pa.bool_())],
                 names=["doc_id", "source", "ids", "n_tokens", "round_trip"],
             )
+        codec.forget()  # the worker lives on, into other stages
 
     found = T.documents(docs, "source").mapInArrow(run, "doc_id long, source string, ids array<int>, n_tokens long, round_trip boolean")
     return found.select(T.public_id(), "source", "ids", "n_tokens", "round_trip")
