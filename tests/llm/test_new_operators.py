@@ -96,3 +96,60 @@ def test_findclose():
                 want[stack.pop()] = i
         at = np.flatnonzero(np.array(bits) == 1)
         assert prefix_trie.Parentheses(np.array(bits)).findclose(at).tolist() == [want[i] for i in at.tolist()]
+
+
+VECTORS = "vec_id long, embedding array<double>, label int, tau string, cell int"
+
+
+def vectors(n=1500, size=12, seed=7):
+    """Clusters with copies, ties, other lengths, and rows that take no part."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(20, size))
+    x = centres[rng.integers(0, 20, n)] + rng.normal(size=(n, size)) * rng.choice([0.1, 0.5, 2.0], (n, 1))
+    x[n // 2 : n // 2 + 60] = x[3]
+    made = [(10 * i, [float(v) for v in row], int(rng.integers(0, 4))) for i, row in enumerate(x)]
+    made += [(50, made[5][1], 2), (10_000_050, [0.0] * size, 1), (10_000_100, None, 1), (10_000_150, [1.0] * (size - 1) + [None], 1), (10_000_200, [float("nan")] * size, 1), (10_000_250, [], 0)]
+    made += [(20_000_000 + 50 * k, [float(k + 1), 1.0, 2.0], k % 2) for k in range(8)] + [(None, made[0][1], 1), (-50, [1e200 * v for v in made[7][1]], 3), (77_777_700, [5.0] * 5, 1)]
+    return made + made[100:103]
+
+
+def plain_nearest(made, every=50, k=5):
+    good = {}
+    for i, x, *_ in made:
+        if x and all(v is not None and np.isfinite(v) for v in x) and any(x):
+            good[(T.NO_ID if i is None else i, tuple(x))] = np.array(x) / max(map(abs, x))
+    out = []
+    for (i, x), a in good.items():
+        if i % every == 0 and i != T.NO_ID:
+            near = sorted((-float(a @ b / np.sqrt((a @ a) * (b @ b))), j) for (j, y), b in good.items() if j != i and len(y) == len(x))
+            out += [(i, r, -s) for r, (s, _) in enumerate(near[:k], 1)]
+    return out
+
+
+@pytest.mark.parametrize("factor, cell", [(1.0, 4096), (1.0, 60), (1.4, 60)])
+def test_vantage_search_against_all_pairs(spark, monkeypatch, factor, cell):
+    from wattfold.llm import vantage_search
+
+    monkeypatch.setattr(vantage_search, "CELL", cell)
+    made = vectors()
+    df = spark.createDataFrame([(*r, "x", 1) for r in made], VECTORS).repartition(5)
+    found = vantage_search.nearest(df, factor=factor).collect()
+    want = plain_nearest(made)
+    got = sorted((r["query_id"], r["rank"], r["score"]) for r in found)
+    if factor == 1:
+        assert len(got) == len(want)
+        assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9 for a, b in zip(got, sorted(want)))
+    kth = {q: s for q, r, s in want if r == 5}
+    assert sum(s >= kth[q] - 1e-12 for q, _, s in got if q in kth) >= 0.9 * sum(q in kth for q, _, _ in want)
+    for r in found:
+        assert r["vec_id"] != r["query_id"]
+    ranked = [(r["query_id"], -r["score"], r["vec_id"] if r["vec_id"] is not None else T.NO_ID, r["rank"]) for r in found]
+    assert ranked == sorted(ranked) or sorted(ranked) == sorted(ranked, key=lambda r: (r[0], r[3]))
+
+
+def test_vantage_search_of_nothing(spark):
+    from wattfold.llm import vantage_search
+
+    assert vantage_search.nearest(spark.createDataFrame([], VECTORS)).count() == 0
+    assert vantage_search.nearest(spark.createDataFrame([(50, [0.0], 1, "", 1), (100, None, 1, "", 1)], VECTORS)).count() == 0
+    assert [tuple(r) for r in vantage_search.nearest(spark.createDataFrame([(50, [1.0, 0.0], 1, "", 1), (1, [2.0, 0.0], 1, "", 1)], VECTORS)).collect()] == [(50, 1, 1, 1.0)]

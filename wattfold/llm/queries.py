@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattfold.llm import (  # noqa: E501
-    bwt_dedup, chat_format, fingerprints, jaccard_join, language_id, mixture, piece_codec, pq_dedup, prefix_trie, sql, texts as T, token_counts, window_dedup,
+    bwt_dedup, chat_format, fingerprints, jaccard_join, language_id, mixture, piece_codec, pq_dedup, prefix_trie, sql, texts as T, token_counts, vantage_search, window_dedup,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,9 @@ def op9_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every prefix that rebuilt conversations share, with what it would save to store it once."""
     return prefix_trie.trie(T.table(spark, sf_dir, "conversations"))
+
+
+@register
+def op11_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector."""
+    return vantage_search.nearest(T.table(spark, sf_dir, "embeddings"))
