@@ -153,3 +153,51 @@ def test_vantage_search_of_nothing(spark):
     assert vantage_search.nearest(spark.createDataFrame([], VECTORS)).count() == 0
     assert vantage_search.nearest(spark.createDataFrame([(50, [0.0], 1, "", 1), (100, None, 1, "", 1)], VECTORS)).count() == 0
     assert [tuple(r) for r in vantage_search.nearest(spark.createDataFrame([(50, [1.0, 0.0], 1, "", 1), (1, [2.0, 0.0], 1, "", 1)], VECTORS)).collect()] == [(50, 1, 1, 1.0)]
+
+
+def plain_negatives(made):
+    good = {}
+    for i, x, label, *_ in made:
+        if label is not None and x and all(v is not None and np.isfinite(v) for v in x):
+            own = (label + 1) % 10 if i is not None and i % 7 == 0 else label
+            good[(T.NO_ID if i is None else i, tuple(int(np.floor(256 * v)) for v in x), own)] = None
+    out = []
+    limit = lambda s: max(-(2**63) + 1, min(2**63 - 1, s))
+    for i, x, label in good:
+        if i % 100 or i == T.NO_ID:
+            continue
+        scored = sorted((-limit(sum(a * b for a, b in zip(x, y))), j, other) for j, y, other in good if j != i and len(y) == len(x))
+        for p, j, _ in [s for s in scored if s[2] == label][:5]:
+            far = [(s, k) for s, k, other in scored if other != label and 30 * -p <= 100 * -s <= 90 * -p][:10]
+            out += [(i, j, r, k, -p, -s) for r, (s, k) in enumerate(far, 1)]
+    return sorted((tuple(None if v == T.NO_ID else v for v in r) for r in out), key=repr)
+
+
+@pytest.mark.parametrize("shard", [8192, 100])
+def test_hard_negatives_against_all_pairs(spark, monkeypatch, shard):
+    from wattfold.llm import hard_negatives
+
+    monkeypatch.setattr(hard_negatives, "SHARD", shard)
+    made = [(i, x, label) for i, x, label in vectors(900, 8)] + [(300_000, [0.25] * 8, None), (100, [0.5] * 8, 9), (31, [1e200] * 4, 2), (400_000, [1e6] * 4, 2), (33, [2e6, 1.0, 1.0, 1.0], 2), (34, [5e5, 1.0, 1e6, 1.0], 3)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in made], VECTORS).repartition(5)
+    found = rows(hard_negatives.mine(df))
+    assert len(found) > 200 and found == plain_negatives(made)
+
+
+def test_hard_negatives_of_nothing(spark):
+    from wattfold.llm import hard_negatives
+
+    assert hard_negatives.mine(spark.createDataFrame([], VECTORS)).count() == 0
+    one = spark.createDataFrame([(100, [1.0], 1, "", 1), (5, [1.0], 1, "", 1), (6, [0.5], 2, "", 1), (6, [0.5], 2, "", 1)], VECTORS)
+    assert [tuple(r) for r in hard_negatives.mine(one).collect()] == [(100, 5, 1, 6, 65536, 32768)]
+
+
+def test_lists_are_read_no_deeper_than_needed():
+    from wattfold.llm import hard_negatives
+
+    rng = np.random.default_rng(1)
+    x = np.floor(256 * np.concatenate([rng.normal(size=(2000, 2)) * 0.01, rng.normal(size=(20, 2)) + 9]))
+    lists = hard_negatives.Lists(np.arange(2020), np.zeros(2020, int), x)
+    (got, scores), = lists.windows(-1, np.array([3.0, 1.0]), np.ones(2020, bool), [-np.inf], [np.inf], 5)
+    want = np.lexsort((np.arange(2020), -(x @ [3.0, 1.0])))[:5]
+    assert got.tolist() == want.tolist() and scores == (x @ [3.0, 1.0])[want].astype(int).tolist()

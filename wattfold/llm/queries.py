@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattfold.llm import (  # noqa: E501
-    bwt_dedup, chat_format, fingerprints, jaccard_join, language_id, mixture, piece_codec, pq_dedup, prefix_trie, sql, texts as T, token_counts, vantage_search, window_dedup,
+    bwt_dedup, chat_format, fingerprints, hard_negatives, jaccard_join, language_id, mixture, piece_codec, pq_dedup, prefix_trie, sql, texts as T, token_counts, vantage_search, window_dedup,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,9 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest rows of every fiftieth vector."""
     return vantage_search.nearest(T.table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each anchor and each of its five positives."""
+    return hard_negatives.mine(T.table(spark, sf_dir, "embeddings"))
