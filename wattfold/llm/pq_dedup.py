@@ -1,13 +1,16 @@
 """Embedding near-dedup with coarse inverted lists and product-quantised residuals.
 
-Vectors are put on the unit sphere. Coarse centroids, fitted on a bounded sample, make the inverted lists; what is left of a
-vector after its centroid is coded by a small codebook in each subspace. A vector looks into the lists of its nearest
-centroids: looked-up dot products of its own parts with the codebooks add up to an estimated cosine with each coded vector.
-A code also carries the length of what it leaves out, so an estimate is off by at most that: every pair that may reach
+Vectors are put on the unit sphere. Coarse centroids, fitted for each length of vectors on a bounded sample, make the inverted
+lists; what is left of a vector after its centroid is coded by a small codebook in each subspace. A vector looks into every
+list that is near enough: a partner in another list lies beyond the plane midway between the two centroids, so the list can be
+left out when that plane is farther away than a partner can be (``reach``). In many dimensions a partner hardly ever lies
+straight ahead; lists are left out when the plane is farther than ``margin`` times that reach, and with margin 1 no link can
+be missed. Looked-up dot products of a vector's own parts with the codebooks add up to an estimated cosine with each coded
+vector. A code also carries the length of what it leaves out, so an estimate is off by at most that: every pair that may reach
 the threshold is reranked by its exact cosine in double precision, and in the lists looked into nothing is lost.
 
 A pair is counted in one place: in the list of the one that the other looks into, or, where both would, in the smaller list
-(inside a list, where the smaller id looks). Large lists are cut into chunks, and the many that look into one are dealt out,
+(inside a list, where the smaller one looks). Large lists are cut into chunks, and the many that look into one are dealt out,
 so no task holds a list. Tasks return counts and star links per vector, never pairs.
 """
 
@@ -19,15 +22,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattfold.llm import texts as T
+from wattfold.llm import meetings as M, texts as T
 from wattfold.llm.components import components
 
 THRESHOLD = 0.9
-#: Vectors of the sample; vectors of a list on average; lists at most; lists a vector looks into; subspaces and codes in each.
-SAMPLE, LIST, LISTS, PROBES, SUBSPACES, CODES = 8192, 500, 1024, 16, 8, 64
+#: Vectors of the sample; vectors of a list on average; lists at most; subspaces and codes in each.
+SAMPLE, LIST, LISTS, SUBSPACES, CODES = 8192, 500, 1024, 8, 64
+#: Standard deviations of a random direction's share of the reach that lists must be near; up to SPREAD ** 2 dimensions nothing is left out.
+SPREAD = 5.0
 #: Members of a chunk, vectors that look into it in one task, and how many are compared at a time.
 CHUNK, LOOKING, BLOCK = 1000, 16_000, 512
-_OUT = "vec_id long, n long, other long"
+_OUT = "vec_id long, twin long, n long, other_id long, other_twin long"
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -43,21 +48,28 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
 
 
 class Index:
-    """Centroids and codebooks of unit vectors of one length."""
+    """Centroids and codebooks of unit vectors of one length; without a sample, one list with nothing coded."""
 
-    def __init__(self, sample: np.ndarray, lists: int):
-        self.size = sample.shape[1]
+    def __init__(self, size: int, sample: np.ndarray, lists: int):
+        self.size, self.first = size, 0
+        self.cuts, self.books, self.centroids = [], [], np.zeros((1, size))
+        if not len(sample):
+            return
         self.centroids = _kmeans(sample, min(lists, len(sample)), 8, 1)
         self.centroids /= np.maximum(np.linalg.norm(self.centroids, axis=1), 1e-12)[:, None]
-        rest = sample - self.centroids[self.nearest(sample)[:, 0]]
-        self.cuts = np.array_split(np.arange(self.size), min(SUBSPACES, self.size))
+        rest = sample - self.centroids[(sample @ self.centroids.T).argmax(1)]
+        self.cuts = np.array_split(np.arange(size), min(SUBSPACES, size))
         self.books = [_kmeans(rest[:, c], min(CODES, len(sample)), 6, 2 + i) for i, c in enumerate(self.cuts)]
+        gram = self.centroids @ self.centroids.T
+        self.apart = np.sqrt(np.maximum(2 - 2 * gram, 0))
 
-    def nearest(self, x: np.ndarray) -> np.ndarray:
-        """The lists that each vector looks into, its own first."""
-        likeness, n = x @ self.centroids.T, min(PROBES, len(self.centroids))
-        some = np.argpartition(-likeness, n - 1, axis=1)[:, :n]
-        return np.take_along_axis(some, np.argsort(-np.take_along_axis(likeness, some, 1), axis=1, kind="stable"), 1)
+    def probed(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """The list of each unit vector, and which lists it looks into: a row a vector, a column a list."""
+        if len(self.centroids) == 1:
+            return np.zeros(len(x), np.int64), np.ones((len(x), 1), bool)
+        likeness = x @ self.centroids.T
+        own = likeness.argmax(1)
+        return own, likeness[np.arange(len(x)), own][:, None] - likeness <= reach * self.apart[own] + 1e-9
 
     def coded(self, x: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the residuals, and the length of what they leave out."""
@@ -76,29 +88,34 @@ class Index:
         return out
 
 
-def _vectors(batch: pa.RecordBatch, size: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, vectors in double precision and unit vectors of the rows that can link (of the given length)."""
-    column = batch.column(1)
-    rows = [(i, x) for i, x in enumerate(column.to_numpy(zero_copy_only=False)) if x is not None and len(x) and (size is None or len(x) == size)]
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros((0, size or 1)), np.zeros((0, size or 1))
-    x = np.array([np.asarray(v, np.float64) for _, v in rows])  # a null component is read as not a number
+def _unit(x: np.ndarray) -> np.ndarray:
     with np.errstate(all="ignore"):
-        scaled = x / np.maximum(np.abs(x).max(1), 1e-300)[:, None]
-        norm = np.linalg.norm(scaled, axis=1)
-        good = np.isfinite(x).all(1) & (np.abs(x).max(1) > 0) & np.isfinite(norm) & (norm > 0)
-    at = np.array([i for i, _ in rows])[good]
-    return at, x[good], scaled[good] / norm[good, None]
+        x = x / np.abs(x).max(1)[:, None]
+        return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _assigned(index: Index, step):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, x, unit = _vectors(batch, index.size)
-            if len(at):
-                yield from step(batch.column(0).to_numpy(zero_copy_only=False)[at], x, unit, index.nearest(unit))
+class Indexes:
+    """An index for each length of vectors in the sample; vectors of any other length are one list a length, compared with all of it."""
 
-    return run
+    def __init__(self, samples: dict[int, np.ndarray], total: int, sampled: int, margin: float | None, threshold: float):
+        self.own, self.first, self.margin, self.reach = {}, 0, margin, float(np.sqrt(2 - 2 * threshold))
+        for size, sample in sorted(samples.items()):
+            wanted = total * len(sample) / max(1, sampled) / LIST
+            index = self.own[size] = Index(size, sample, int(np.clip(wanted, 1, min(LISTS, max(1, len(sample) // 8)))))
+            index.first = self.first
+            self.first += len(index.centroids)
+
+    def of(self, size: int) -> Index:
+        if size not in self.own:
+            self.own[size] = Index(size, np.zeros((0, size)), 1)
+            self.own[size].first = -size
+        return self.own[size]
+
+    def probed(self, unit: np.ndarray) -> tuple[Index, np.ndarray, np.ndarray]:
+        size = unit.shape[1]
+        margin = min(1.0, SPREAD / size**0.5) if self.margin is None else self.margin
+        index = self.of(size)
+        return index, *index.probed(unit, margin * self.reach)
 
 
 def _star(nodes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -116,129 +133,128 @@ def _star(nodes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _compared(shared, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Index = shared.value
-        key, members, looking = None, [], []
-
-        def block(rows: list) -> Iterator[pa.RecordBatch]:
-            at = key[0]
-            ids, x, unit, lists, probes, codes, left_out = members_of()
-            own = [np.array([r[k] for r in rows]) for k in (4, 7)]
-            y = np.array([np.frombuffer(r[5], np.float64) for r in rows])
-            scale = np.abs(y).max(1)[:, None]
-            z = y / scale
-            z /= np.linalg.norm(z, axis=1)[:, None]
-            mine, my_list = own
-            estimate = index.estimates(z, at, codes)
-            p, m = np.nonzero(estimate + left_out >= threshold - 1e-6)
-            keep = []
-            for k in range(0, len(p), 100_000):
-                keep.append(np.einsum("ij,ij->i", z[p[k : k + 100_000]], unit[m[k : k + 100_000]]) >= threshold)
-            if not keep:
-                return
-            keep = np.concatenate(keep)
+        indexes: Indexes = shared.value
+        key, made = None, None
+
+        for now, members, looking in M.meetings(batches, 4, BLOCK):
+            size, at = now[0], now[1]
+            index = indexes.of(size)
+            if now != key:
+                table = members.combine_chunks()
+                ids, twin = (table.column(n).to_numpy() for n in ("vec_id", "twin"))
+                rows = M.distinct_rows(ids, twin)
+                unit = _unit(M.matrix(table.column("vector").combine_chunks(), size)[rows])
+                _, looks = index.probed(unit, (min(1.0, SPREAD / size**0.5) if indexes.margin is None else indexes.margin) * indexes.reach)
+                key, made = now, (ids[rows], twin[rows], unit, looks, *index.coded(unit, np.full(len(unit), at - index.first)))
+            ids, twin, unit, looks, codes, left_out = made
+            table = looking.combine_chunks()
+            mine, my_twin, my_list = (table.column(n).to_numpy() for n in ("vec_id", "twin", "own"))
+            rows = M.distinct_rows(mine, my_twin)
+            mine, my_twin, my_list = mine[rows], my_twin[rows], my_list[rows]
+            z = _unit(M.matrix(table.column("vector").combine_chunks(), size)[rows])
+            p, m = np.nonzero(index.estimates(z, at - index.first, codes) + left_out >= threshold - 1e-6)
+            if not len(p):
+                continue
+            keep = np.concatenate([np.einsum("ij,ij->i", z[p[k : k + 100_000]], unit[m[k : k + 100_000]]) >= threshold for k in range(0, len(p), 100_000)])
             # One place for each pair.
-            both = (probes[m] == my_list[p][:, None]).any(1)
-            keep &= np.where(my_list[p] == at, mine[p] < ids[m], ~both | (at < my_list[p])) & (mine[p] != ids[m])
+            both = looks[m, my_list[p] - index.first]
+            before = (mine[p] < ids[m]) | ((mine[p] == ids[m]) & (my_twin[p] < twin[m]))
+            keep &= np.where(my_list[p] == at, before, ~both | (at < my_list[p]))
             p, m = p[keep], m[keep]
             if not len(p):
-                return
-            nodes = np.concatenate([mine, ids])
+                continue
+            nodes, others = np.concatenate([mine, ids]), np.concatenate([my_twin, twin])
             n = np.bincount(p, minlength=len(nodes)) + np.bincount(m + len(mine), minlength=len(nodes))
-            label = _star(nodes, p, m + len(mine))
+            label = _star(np.arange(len(nodes)), p, m + len(mine))
             some = n > 0
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(n[some].astype(np.int64)), pa.array(label[some])], names=["vec_id", "n", "other"])
-
-        made: list = []
-
-        def members_of():
-            if not made:
-                raw = np.array([np.frombuffer(r[5], np.float64) for r in members])
-                unit = raw / np.abs(raw).max(1)[:, None]
-                unit /= np.linalg.norm(unit, axis=1)[:, None]
-                made.append((np.array([r[4] for r in members]), raw, unit, key[0], np.array([r[6] for r in members]), *index.coded(unit, np.full(len(unit), key[0]))))
-            return made[0]
-
-        for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(8))):
-                if row[:3] != key:
-                    if members and looking:
-                        yield from block(looking)
-                    key, members, looking = row[:3], [], []
-                    made.clear()
-                if row[3] == 0:
-                    members.append(row)
-                else:
-                    looking.append(row)
-                    if len(looking) == BLOCK:
-                        if members:
-                            yield from block(looking)
-                        looking = []
-        if members and looking:
-            yield from block(looking)
+            columns = (nodes[some], others[some], n[some].astype(np.int64), nodes[label[some]], others[label[some]])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in _OUT.split(", ")])
 
     return run
 
 
-def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, margin: float | None = None) -> DataFrame:
     """vec_id, n_links (other vectors linked directly), component_id and kept (vec_id = component_id) of every row.
 
-    Vectors that are null, empty, zero or hold null or non-finite components link with nothing; so do vectors whose length is
-    not the most frequent one of the sample. Rows of one vec_id are not linked with each other. A null id is carried as
-    the smallest number inside and given back as null; an empty table gives an empty one; other columns are left behind.
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of different lengths
+    never link. A vector is an id and its components: a repeated row is the same vector and gets the same result, different
+    vectors that share an id, null above all, are vectors of their own and may link. A null id comes before all others and
+    is given back as null; an empty table gives an empty one; other columns are left behind. ``margin``: see above, None for
+    SPREAD standard deviations.
     """
     spark = df.sparkSession
-    rows = df.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(T.NO_ID)).alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    total = rows.count()
-    share = min(2**30, 2**30 * SAMPLE // max(1, total))
-    sample = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(2**30)) < share).limit(2 * SAMPLE).collect()
-    lengths = np.bincount([len(r["embedding"]) for r in sample if r["embedding"]] or [0])
-    size = int(lengths.argmax())
-    result = rows.select("vec_id")
-    known = pa.RecordBatch.from_arrays([pa.array([r["vec_id"] for r in sample], pa.int64()), pa.array([r["embedding"] for r in sample], pa.list_(pa.float64()))], names=["vec_id", "embedding"])
-    at, _, unit = _vectors(known, size) if size else (np.zeros(0, np.int64), None, None)
-    if not len(at):
-        return result.select(T.public_id("vec_id"), F.lit(0).cast("long").alias("n_links"), T.public_id("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    unit = unit[np.argsort(known.column(0).to_numpy()[at], kind="stable")]
-    index = Index(unit, int(np.clip(total // LIST, 1, min(LISTS, max(1, len(unit) // 8)))))
-    shared = spark.sparkContext.broadcast(index)
-    n_lists = len(index.centroids)
-
-    def counted(ids, x, unit, near):
-        members, looking = np.bincount(near[:, 0], minlength=n_lists), np.bincount(near.ravel(), minlength=n_lists)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_lists)), pa.array(members), pa.array(looking)], names=["list", "members", "looking"])
-
-    sums = rows.mapInArrow(lambda b: _assigned(shared.value, counted)(b), "list long, members long, looking long").groupBy("list").agg(F.sum("members").alias("m"), F.sum("looking").alias("l")).collect()
-    chunks, salts = np.ones(n_lists, int), np.ones(n_lists, int)
-    for r in sums:
-        chunks[r["list"]], salts[r["list"]] = max(1, -(-r["m"] // CHUNK)), max(1, -(-r["l"] // LOOKING))
-
-    def placed(ids, x, unit, near):
-        key = T.mixed(ids.view(np.uint64))
-        out: list[list] = [[] for _ in range(8)]
-        for i, k, raw, lists in zip(ids.tolist(), key.tolist(), x, near.tolist()):
-            own, raw = lists[0], raw.tobytes()
-            places = [(own, k % int(chunks[own]), s, 0) for s in range(salts[own])]
-            places += [(at, c, (k >> 32) % int(salts[at]), 1) for at in lists for c in range(chunks[at])]
-            for place in places:
-                for column, value in zip(out, (*place, i, raw, lists if place[3] == 0 else None, own)):
-                    column.append(value)
-            if len(out[0]) > 20_000:
-                yield _placed_batch(out)
-                out = [[] for _ in range(8)]
-        if out[0]:
-            yield _placed_batch(out)
-
-    schema = "list int, chunk int, salt int, looks int, vec_id long, vector binary, probes array<int>, own int"
-    sent = rows.mapInArrow(lambda b: _assigned(shared.value, placed)(b), schema)
-    sent = sent.repartition(T.partitions(spark), "list", "chunk", "salt").sortWithinPartitions("list", "chunk", "salt", "looks", "vec_id")
+    usable = M.usable(df).where(F.exists("embedding", lambda x: x != 0))
+    total = usable.count()
+    share = min(2**30, 2**30 * SAMPLE // max(1, total) + 1)
+    # Rows are drawn by id and content; whatever is drawn, every usable row is indexed.
+    sample = usable.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(2**30)) < share).limit(2 * SAMPLE).orderBy("vec_id", "embedding").collect()
+    samples: dict[int, list] = {}
+    for r in sample:
+        samples.setdefault(len(r["embedding"]), []).append(r["embedding"])
+    shared = spark.sparkContext.broadcast(Indexes({n: _unit(np.array(x)) for n, x in samples.items()}, total, len(sample), margin, threshold))
+
+    def twinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            twin, good = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, bool)
+            known = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(known)
+            for own, x in M.by_length(pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(at))], names=["embedding"])):
+                twin[at[own]] = M.twins(x)
+            good[at] = True
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(twin), pa.array(good)], names=["vec_id", "twin", "good"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, x in M.by_length(batch):
+                index, own, looks = shared.value.probed(_unit(x))
+                n = np.arange(len(index.centroids))
+                columns = (np.full(len(n), x.shape[1]), n + index.first, np.bincount(own, minlength=len(n)), looks.sum(0))
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["size", "list", "members", "looking"])
+
+    sums = usable.mapInArrow(counted, "size long, list long, members long, looking long").groupBy("size", "list").agg(F.sum("members").alias("m"), F.sum("looking").alias("l"))
+    places = {r["list"]: (max(1, -(-r["m"] // CHUNK)), max(1, -(-r["l"] // LOOKING))) for r in sums.collect()}  # a row a list
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for at, x in M.by_length(batch):
+                twin = M.twins(x)
+                index, own, looks = shared.value.probed(_unit(x))
+                # Vectors that share an id are spread as well.
+                key = T.mixed(ids[at].view(np.uint64) ^ twin.view(np.uint64)).tolist()
+                out: list[tuple] = []
+                for i, (k, home) in enumerate(zip(key, (own + index.first).tolist())):
+                    chunks, salts = places[home]
+                    out += [(home, k % chunks, s, 0, i, home) for s in range(salts)]
+                    for to in (np.flatnonzero(looks[i]) + index.first).tolist():
+                        chunks, salts = places[to]
+                        out += [(to, c, (k >> 32) % salts, 1, i, home) for c in range(chunks)]
+                    if len(out) > 8192 or i == len(key) - 1:
+                        yield _placed_batch(out, ids[at], twin, x)
+                        out = []
+
+    keys = ("size", "list", "chunk", "salt")
+    sent = usable.mapInArrow(placed, "size int, list int, chunk int, salt int, looks int, vec_id long, twin long, vector binary, own int")
+    sent = sent.repartition(T.partitions(spark), *keys).sortWithinPartitions(*keys, "looks")
     found = T.checkpointed(sent.mapInArrow(_compared(shared, threshold), _OUT))
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-    parts = components(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("vec_id"), "component")
-    result = result.join(counts, "vec_id", "left").join(parts, "vec_id", "left")
-    whole = F.coalesce("component", "vec_id")
+    counts = found.groupBy("vec_id", "twin").agg(F.sum("n").alias("n_links"))
+    # Linked vectors are numbered, since an id may stand for several.
+    nodes = T.checkpointed(T.checkpointed(counts).withColumn("node", F.monotonically_increasing_id()))
+    of = lambda i, t, name: nodes.select(F.col("vec_id").alias(i), F.col("twin").alias(t), F.col("node").alias(name))
+    links = found.join(of("vec_id", "twin", "a"), ["vec_id", "twin"]).join(of("other_id", "other_twin", "b"), ["other_id", "other_twin"]).select("a", "b")
+    parts = components(links).join(nodes, "node")
+    least = parts.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    parts = T.checkpointed(parts.join(least, "component").select("vec_id", "twin", "n_links", "component_id"))
+    vector = F.when(F.size("embedding") > 0, F.col("embedding")).cast("array<double>")
+    rows = df.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(T.NO_ID)).alias("vec_id"), F.when(F.forall(vector, lambda x: x.isNotNull()), vector).alias("embedding"))
+    result = rows.mapInArrow(twinned, "vec_id long, twin long, good boolean").join(parts.withColumn("good", F.lit(True)), ["vec_id", "twin", "good"], "left")
+    whole = F.coalesce("component_id", "vec_id")
     return result.select(T.public_id("vec_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.nullif(whole, F.lit(T.NO_ID)).alias("component_id"), (F.col("vec_id") == whole).alias("kept"))
 
 
-def _placed_batch(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int32()] * 4 + [pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["list", "chunk", "salt", "looks", "vec_id", "vector", "probes", "own"])
+def _placed_batch(out: list[tuple], ids: np.ndarray, twin: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    to, chunk, salt, looks, i, own = (np.array(c, np.int64) for c in zip(*out))
+    width = 8 * x.shape[1]
+    raw = pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(np.arange(0, (len(i) + 1) * width, width, dtype=np.int32)), pa.py_buffer(x[i].tobytes())])
+    numbers = [pa.array(c.astype(np.int32)) for c in (np.full(len(i), x.shape[1]), to, chunk, salt, looks)]
+    return pa.RecordBatch.from_arrays([*numbers, pa.array(ids[i]), pa.array(twin[i]), raw, pa.array(own.astype(np.int32))], names=["size", "list", "chunk", "salt", "looks", "vec_id", "twin", "vector", "own"])
