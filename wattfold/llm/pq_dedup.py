@@ -29,7 +29,7 @@ THRESHOLD = 0.9
 #: Vectors of the sample; vectors of a list on average; lists at most; subspaces and codes in each.
 SAMPLE, LIST, LISTS, SUBSPACES, CODES = 8192, 500, 1024, 8, 64
 #: Standard deviations of a random direction's share of the reach that lists must be near; up to SPREAD ** 2 dimensions nothing is left out.
-SPREAD = 5.0
+SPREAD = 2.5
 #: Members of a chunk, vectors that look into it in one task, and how many are compared at a time.
 CHUNK, LOOKING, BLOCK = 1000, 16_000, 512
 _OUT = "vec_id long, twin long, n long, other_id long, other_twin long"
