@@ -31,12 +31,14 @@ def test_words_that_mirror_each_other_stay_apart(spark, n):
     assert sketch[10] != sketch[11] and sketch[0] == sketch[2] != sketch[1]
 
 
-def test_windows_with_equal_hashes_are_compared_word_by_word():
+def test_windows_with_equal_hashes_are_compared_in_full():
     import numpy as np
 
-    symbols = np.array([1, 2, 1, 3, 1, 2, 1, 3, 9], np.int32)
-    at = np.array([0, 2, 4, 6, 7])
-    copy = S.later_copies([np.zeros(5, np.uint64)], np.array([0, 0, 1, 1, 1]), np.array([0, 2, 0, 2, 3]), symbols, at, 2)
+    begin = np.array([0, 3, 6, 9, 12])
+    copy = S.later_copies([np.zeros(5, np.uint64)], np.array([0, 0, 1, 1, 1]), np.array([0, 2, 0, 2, 3]), b"a b a c a b a c c d", begin, begin + 3)
+    assert copy.tolist() == [False, False, False, False, False]
+    begin = np.array([0, 4, 8, 12, 14])
+    copy = S.later_copies([np.zeros(5, np.uint64)], np.array([0, 0, 1, 1, 1]), np.array([0, 2, 0, 2, 3]), b"a b a c a b a c c d", begin, begin + 3)
     assert copy.tolist() == [False, False, True, True, False]
 
 

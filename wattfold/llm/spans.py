@@ -95,11 +95,11 @@ def runs(ids: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np
     return ids[begin], starts[begin], starts[end] + size
 
 
-def later_copies(keys: list[np.ndarray], ids: np.ndarray, starts: np.ndarray, symbols: np.ndarray | None = None, at: np.ndarray | None = None, size: int = 0) -> np.ndarray:
+def later_copies(keys: list[np.ndarray], ids: np.ndarray, starts: np.ndarray, raw: bytes | None = None, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
     """Which rows have an equal key at a smaller (id, start); keys are compared as tuples.
 
-    With ``symbols``, row i stands for symbols[at[i] : at[i] + size]: keys then only bring likely equals together, and rows
-    are equal where these contents are.
+    With ``raw``, row i stands for raw[begin[i] : end[i]]: keys then only bring likely equals together, and rows are equal
+    where these contents are.
     """
     order = np.lexsort((starts, ids, *reversed(keys)))
     same = np.ones(max(0, len(order) - 1), dtype=bool)
@@ -107,16 +107,15 @@ def later_copies(keys: list[np.ndarray], ids: np.ndarray, starts: np.ndarray, sy
         same &= k[order[1:]] == k[order[:-1]]
     group = np.concatenate([[0], np.cumsum(~same)]) if len(order) else np.zeros(0, np.int64)
     lead = order[np.searchsorted(group, group)]  # the first of each group
-    if symbols is not None:
+    if raw is not None:
         mine = np.flatnonzero(lead != order)
-        other = np.zeros(len(mine), dtype=bool)
-        for k in range(size):
-            other |= symbols[at[order[mine]] + k] != symbols[at[lead[mine]] + k]
+        pairs = zip(*(x.tolist() for x in (begin[order[mine]], end[order[mine]], begin[lead[mine]], end[lead[mine]])))
+        other = np.fromiter((raw[a:b] != raw[c:d] for a, b, c, d in pairs), bool, len(mine))
         for g in np.unique(group[mine[other]]).tolist():  # contents that share a key: told apart one by one
             firsts: dict[bytes, int] = {}
             for place in range(*np.searchsorted(group, [g, g + 1]).tolist()):
                 row = int(order[place])
-                lead[place] = firsts.setdefault(symbols[at[row] : at[row] + size].tobytes(), row)
+                lead[place] = firsts.setdefault(raw[begin[row] : end[row]], row)
     out = np.zeros(len(order), dtype=bool)
     out[order] = (ids[order] != ids[lead]) | (starts[order] != starts[lead])
     return out

@@ -2,8 +2,9 @@
 
 A window is ``WINDOW`` consecutive words. Each window has a minimiser, the smallest hash of its ``SEED_WORDS``-word stretches;
 consecutive windows that share it travel as one packed string to the bucket of that minimiser, so equal windows always meet.
-There windows are sorted by two hashes, which bring equal ones together; neighbours are then compared word by word, and every
-window but the first of its group, by (document, start), is a copy.
+There windows are sorted by two hashes, which bring equal ones together; neighbours are then compared in full, and every window
+but the first of its group, by (document, start), is a copy. Each shuffle partition holds many buckets, sorted by Spark and
+settled one after the other, so that a task holds the windows of one bucket at a time.
 
 Before anything travels, each task settles the windows that repeat within what it holds: a window with an earlier copy in
 the task is a copy whatever else exists, so only the first of each goes to its bucket. A passage that very many documents
@@ -16,15 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from wattfold.llm import spans as S, texts as T
 
 WINDOW, SEED_WORDS = 20, 4
 #: Bytes of text that a task settles at a time.
 BLOCK_BYTES = 2_500_000
-_WINDOW, _OTHER, _SEED = (T.Roller(i) for i in (22, 23, 24))
-_KEY = b"windows"
+#: Buckets of each shuffle partition.
+BUCKETS = 16
+_WORD, _WINDOW, _OTHER, _SEED = (T.Roller(i) for i in (21, 22, 23, 24))
 
 
 def _first_step(buckets: int, size: int):
@@ -40,10 +42,9 @@ def _first_step(buckets: int, size: int):
             number, ids, twins = S.numbered(*(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2)))
             number = number[doc]
             starts = first - words.bounds[doc]
-            symbols, distinct = words.numbered(texts)
-            hashes = T.digests(distinct, _KEY)[0][symbols]
+            hashes = words.hashes(texts, _WORD)
             keys = [r.windows(r.sums(hashes), size)[first] for r in (_WINDOW, _OTHER)]
-            copy = S.later_copies(keys, number, starts, symbols, first, size)
+            copy = S.later_copies(keys, number, starts, texts.raw, words.start[first], words.end[first + size - 1])
             own, *spans = S.runs(number[copy], starts[copy], size)
             if len(own):
                 yield S.document_rows(ids[own], twins[own], *spans, buckets)
@@ -71,41 +72,52 @@ def _first_step(buckets: int, size: int):
     return run
 
 
+def _copies(blocks: list[bytes], size: int) -> Iterator[pa.RecordBatch]:
+    """Spans of the windows of one bucket that have an earlier copy in it."""
+    keys: list[list[np.ndarray]] = [[], []]
+    ids, twins, held, starts, raws, begins, ends, parts, read = [], [], [], [], [], [], [], 0, 0
+    for block in blocks:
+        own, at, _, lengths, raw = S.unpacked(block)
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        texts = T.Utf8(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(own), [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(raw)]))
+        words = T.Words(texts)
+        first, doc = T.windows_within(words.counts, size)
+        hashes = words.hashes(texts, _WORD)
+        for k, r in zip(keys, (_WINDOW, _OTHER)):
+            k.append(r.windows(r.sums(hashes), size)[first])
+        ids.append(own)
+        twins.append(S.twins(lengths, raw))
+        held.append(parts + doc)
+        parts += len(own)
+        starts.append(at[doc] + first - words.bounds[doc])
+        begins.append(words.start[first] + read)
+        ends.append(words.end[first + size - 1] + read)
+        raws.append(texts.raw)
+        read += len(texts.raw)
+    number, whole, second = S.numbered(np.concatenate(ids), np.concatenate(twins))
+    number, places = number[np.concatenate(held)], np.concatenate(starts)
+    copy = S.later_copies([np.concatenate(k) for k in keys], number, places, b"".join(raws), np.concatenate(begins), np.concatenate(ends))
+    found, *spans = S.runs(number[copy], places[copy], size)
+    if len(found):
+        yield S.document_rows(whole[found], second[found], *spans, 1)
+
+
 def _second_step(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[list[np.ndarray]] = [[], []]
-        ids, twins, held, starts, parts = [], [], [], [], 0
-        known: dict[bytes, int] = {}
-        symbols, at_symbol, n_symbols = [], [], 0
+        bucket, blocks = None, []
         for batch in batches:
             passed = batch.filter(batch.column(4).is_null())
             if passed.num_rows:
                 yield passed
-            for block in batch.column(4).drop_null():
-                own, at, _, lengths, raw = S.unpacked(block.as_py())
-                bounds = np.concatenate([[0], np.cumsum(lengths)])
-                texts = T.Utf8(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(own), [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(raw)]))
-                words = T.Words(texts)
-                first, doc = T.windows_within(words.counts, size)
-                number, distinct = words.numbered(texts)
-                symbols.append(np.array([known.setdefault(w, len(known)) for w in distinct], np.int32)[number])
-                at_symbol.append(first + n_symbols)
-                n_symbols += len(number)
-                hashes = T.digests(distinct, _KEY)[0][number]
-                for k, r in zip(keys, (_WINDOW, _OTHER)):
-                    k.append(r.windows(r.sums(hashes), size)[first])
-                ids.append(own)
-                twins.append(S.twins(lengths, raw))
-                held.append(parts + doc)
-                parts += len(own)
-                starts.append(at[doc] + first - words.bounds[doc])
-        if ids:
-            number, whole, second = S.numbered(np.concatenate(ids), np.concatenate(twins))
-            number, places = number[np.concatenate(held)], np.concatenate(starts)
-            copy = S.later_copies([np.concatenate(k) for k in keys], number, places, np.concatenate(symbols), np.concatenate(at_symbol), size)
-            found, *spans = S.runs(number[copy], places[copy], size)
-            if len(found):
-                yield S.document_rows(whole[found], second[found], *spans, 1)
+            sent = batch.filter(batch.column(4).is_valid())
+            for own, block in zip(sent.column(0).to_pylist(), sent.column(4)):
+                if own != bucket:
+                    if blocks:
+                        yield from _copies(blocks, size)
+                    bucket, blocks = own, []
+                blocks.append(block.as_py())
+        if blocks:
+            yield from _copies(blocks, size)
 
     return run
 
@@ -116,9 +128,10 @@ def repeated_spans(df: DataFrame, size: int = WINDOW) -> DataFrame:
     Spans of a document may overlap. Rows of one doc_id and text are read as the same document, so a repeated row repeats
     nothing; null ids come before all others, texts of one id in the order of their digests.
     """
-    buckets = T.partitions(df.sparkSession)
-    sent = S.documents(df).mapInArrow(_first_step(buckets, size), S.ROW)
-    return S.document_spans(sent.repartitionById(buckets, "bucket").mapInArrow(_second_step(size), S.ROW))
+    parts = T.partitions(df.sparkSession)
+    sent = S.documents(df).mapInArrow(_first_step(parts * BUCKETS, size), S.ROW)
+    dealt = sent.repartitionById(parts, F.pmod("bucket", F.lit(parts))).sortWithinPartitions("bucket")
+    return S.document_spans(dealt.mapInArrow(_second_step(size), S.ROW))
 
 
 def remove_repeats(df: DataFrame, size: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
