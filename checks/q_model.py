@@ -2,42 +2,141 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from checks import layers
 from checks.registry import register
 from checks.sqltext import big, corr, day, key, month, num, rnd, stamp, text
-from checks.standin import DATASETS, bronze, table
-from wattfold.config import HEADERS, SOURCE_COLUMNS
+from checks.standin import DATASETS, Duck, LATE, MONTHLY_FILES, ORDER_FILES, bronze, monthly_orders, publish, table
+from wattfold.config import HEADERS, Period, SOURCE_COLUMNS
 from wattfold.functions import clean as C, measures as M
 from wattfold.operators import aggregate as A, conform as K, joins as J, ranking as R
 from wattfold.plans import dims, facts, keys, silver
-from wattfold.sources import files
+from wattfold.sources import landing, partitions
 from wattfold.sources.bronze import read_bronze
 from wattfold.sources.shared import shared_folder
 
 
 # --- sources --------------------------------------------------------------------------------
-@register("file_manifest")
+_LATE = f"arquivo >= 'pedidos_{LATE.replace('-', '_')}.csv'"
+_ORDER_COLUMNS = list(ORDER_FILES)
+
+
+def _two_landings(spark, d):
+    """Monthly files of all orders: all but the late ones are landed, then the late ones are published; folder and target."""
+    base = shared_folder(spark)
+    folder, target = f"{base}/pedidos_origem", f"{base}/alvo"
+    orders = monthly_orders(spark, d)
+    publish(orders.filter(f"NOT {_LATE}"), f"{folder}/pedidos", f"{base}/s1")
+    landing.land(spark, folder, "pedidos", _ORDER_COLUMNS, target)
+    publish(orders.filter(_LATE), f"{folder}/pedidos", f"{base}/s2")
+    return folder, target
+
+
+def _land_again(spark, folder, target, between=None):
+    """Lands what is new and gives the first batch of this landing."""
+    since = landing.landed_manifest(spark, target).agg(F.coalesce(F.max("_lote") + 1, F.lit(0))).first()[0]
+    landing.land(spark, folder, "pedidos", _ORDER_COLUMNS, target, between=between)
+    return since
+
+
+@register("file_manifest", f"""
+    SELECT 'pedidos' AS dataset, arquivo, mes AS periodo, CASE WHEN {_LATE} THEN 'novo' ELSE 'cache' END AS status, linhas, resumo FROM ({MONTHLY_FILES}) f""")
 def file_manifest(spark, d):
-    """Manifest of the given files; a second listing against it finds nothing new."""
-    listed = files.list_files(spark, d, "*.parquet")
-    known = files.manifest(listed)
-    again = files.manifest(files.list_files(spark, d, "*.parquet"), known)
-    return again.select("dataset", "arquivo", "bytes", "status")
+    """Manifest after two landings of monthly files of orders: new and known files, their rows and content digests."""
+    folder, target = _two_landings(spark, d)
+    since = _land_again(spark, folder, target)
+    status = landing.landing_status(spark, folder, target, since).select("arquivo", "status")
+    listed = landing.landed_manifest(spark, target).select("dataset", "arquivo", "periodo", "linhas", "resumo")
+    return listed.join(status, "arquivo").select("dataset", "arquivo", "periodo", "status", "linhas", "resumo")
 
 
-@register("manifest_summary")
+@register("manifest_summary", f"""
+    SELECT 'pedidos' AS dataset, CASE WHEN {_LATE} THEN 'novo' ELSE 'cache' END AS status, COUNT(*) AS arquivos, CAST(SUM(linhas) AS BIGINT) AS linhas
+    FROM ({MONTHLY_FILES}) f GROUP BY 2""")
 def manifest_summary(spark, d):
-    return files.manifest_summary(files.manifest(files.list_files(spark, d, "*.parquet")))
+    folder, target = _two_landings(spark, d)
+    return landing.landing_summary(spark, folder, target, _land_again(spark, folder, target))
 
 
-@register("new_files")
+@register("new_files", f"SELECT 'pedidos' AS dataset, arquivo FROM ({MONTHLY_FILES}) f WHERE {_LATE}")
 def new_files(spark, d):
-    """Files of the folder that are not in a manifest of the smaller half of them."""
-    listed = files.list_files(spark, d, "*.parquet")
-    middle = listed.agg(F.avg("bytes")).scalar()
-    return files.new_files(listed, files.manifest(listed.filter(F.col("bytes") < middle))).select("arquivo", "bytes")
+    """Files of orders that were published since the last landing."""
+    folder, target = _two_landings(spark, d)
+    return landing.pending_files(spark, folder, target)
+
+
+@register("landing_after_failure", f"SELECT arquivo, linhas, linhas AS linhas_manifesto, resumo FROM ({MONTHLY_FILES}) f")
+def landing_after_failure(spark, d):
+    """Rows per file where the second landing fails once between rows and manifest, is repeated, and is run once more."""
+    folder, target = _two_landings(spark, d)
+    failed = []
+
+    def between(batch):
+        if not failed:
+            failed.append(batch)
+            raise RuntimeError("planned failure in the middle of a landing")
+
+    try:
+        _land_again(spark, folder, target, between)
+    except StreamingQueryException:
+        pass
+    for _ in range(2):
+        _land_again(spark, folder, target, between)
+    rows = landing.landed_rows(spark, target).groupBy("arquivo").agg(F.count("*").alias("linhas"), landing.content_digest(_ORDER_COLUMNS).alias("resumo"))
+    known = landing.landed_manifest(spark, target).select("arquivo", F.col("linhas").alias("linhas_manifesto"))
+    return rows.join(known, "arquivo").filter(F.lit(len(failed) == 1)).select("arquivo", "linhas", "linhas_manifesto", "resumo")
+
+
+@register("landing_period", f"""
+    SELECT arquivo, CASE WHEN mes BETWEEN '1994-03' AND '1996-02' THEN 'selecionado' ELSE 'fora_da_janela' END AS situacao,
+           CASE WHEN mes BETWEEN '1994-03' AND '1996-02' THEN linhas ELSE 0 END AS linhas FROM ({MONTHLY_FILES}) f""")
+def landing_period(spark, d):
+    """Every landed file and whether a window of two years selects it, with the rows read of it through the window."""
+    folder, target = _two_landings(spark, d)
+    _land_again(spark, folder, target)
+    window = Period(first_month="1994-03", last_month="1996-02")
+    read = landing.landed_rows(spark, target, period=window).groupBy("arquivo").agg(F.count("*").alias("lidas"))
+    status = landing.landing_status(spark, folder, target, period=window).select("arquivo", "situacao")
+    return status.join(read, "arquivo", "left").select("arquivo", "situacao", F.coalesce("lidas", F.lit(0)).alias("linhas"))
+
+
+_MONTHS = f"""
+    SELECT SUBSTRING({Duck.day('o_orderdate')}, 1, 7) AS mes, COUNT(*) AS antes,
+           COUNT(*) FILTER (WHERE NOT (o_orderkey % 50 = 0 AND o_orderdate >= DATE '1997-01-01')) AS depois
+    FROM orders GROUP BY 1"""
+
+
+@register("partition_refresh", f"""
+    SELECT mes, CASE WHEN mes < '1992-04' THEN antes WHEN mes = '1995-05' THEN depois + 1 ELSE depois END AS linhas,
+           CASE WHEN mes < '1992-04' THEN 'removida' WHEN antes <> depois OR mes IN ('1995-05', '1996-07') THEN 'gravada' ELSE 'mantida' END AS situacao
+    FROM ({_MONTHS}) m""")
+def partition_refresh(spark, d):
+    """A table of orders by month is refreshed with content in which some months lack rows, gain one, change one or are gone."""
+    path = f"{shared_folder(spark)}/pedidos_por_mes"
+    month = F.substring(F.date_format("o_orderdate", "yyyy-MM-dd"), 1, 7).alias("mes")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", month)
+    partitions.refresh(orders, path, ["mes"])
+    first = lambda m: orders.filter(F.col("mes") == m).orderBy("o_orderkey").limit(1)
+    changed = orders.join(first("1996-07").select(F.col("o_orderkey").alias("k")), F.col("o_orderkey") == F.col("k"), "left")
+    changed = changed.withColumn("o_orderstatus", F.when(F.col("k").isNotNull(), "X").otherwise(F.col("o_orderstatus"))).drop("k")
+    changed = changed.filter((F.col("mes") >= "1992-04") & ~((F.col("o_orderkey") % 50 == 0) & (F.col("mes") >= "1997-01"))).unionByName(first("1995-05"))
+    return partitions.refresh(changed, path, ["mes"])
+
+
+@register("partition_refresh_content", f"""
+    SELECT SUBSTRING({Duck.day('o_orderdate')}, 1, 7) AS mes, COUNT(*) AS linhas, CAST(SUM(o_orderkey) AS BIGINT) AS chaves, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS fechados
+    FROM orders WHERE o_orderkey % 3 > 0 AND o_orderdate >= DATE '1993-01-01' GROUP BY 1""")
+def partition_refresh_content(spark, d):
+    """What a table holds after three refreshes, the last one with a third of the orders and the first year gone."""
+    path = f"{shared_folder(spark)}/pedidos_por_mes"
+    month = F.substring(F.date_format("o_orderdate", "yyyy-MM-dd"), 1, 7).alias("mes")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", month)
+    partitions.refresh(orders, path, ["mes"])
+    for content in (orders.filter("o_orderkey % 3 > 0"), orders.filter("o_orderkey % 3 > 0 AND mes >= '1993-01'")):
+        partitions.refresh(content, path, ["mes"])
+    return partitions.read(spark, path).groupBy("mes").agg(F.count("*").alias("linhas"), F.sum("o_orderkey").alias("chaves"), F.count_if(F.col("o_orderstatus") == "F").alias("fechados"))
 
 
 def _csv(spark, d, dataset):

@@ -214,3 +214,37 @@ def bronze(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
 
 def bronze_sql(dataset: str) -> str:
     return DATASETS[dataset][0](Duck)
+
+
+ORDER_FILES = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+#: Months from which on files are published late, and what a name is made of.
+LATE = "1998-06"
+
+
+def monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as texts, with the name of the monthly file that each belongs to."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.selectExpr(
+        "CAST(o_orderkey AS STRING) AS o_orderkey", "CAST(o_custkey AS STRING) AS o_custkey", "CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS STRING) AS o_totalprice",
+        f"{Spark.day('o_orderdate')} AS o_orderdate", "o_orderpriority", f"'pedidos_' || REPLACE(SUBSTRING({Spark.day('o_orderdate')}, 1, 7), '-', '_') || '.csv' AS arquivo",
+    )
+
+
+def publish(orders: DataFrame, folder: str, staging: str) -> None:
+    """One CSV file per name in ``folder``, as a publisher would leave them there: written by Spark, then given their names."""
+    spark = orders.sparkSession
+    options = dict(header=True, sep=";", quote='"', escape='"', quoteAll=True)
+    orders.repartition("arquivo").write.partitionBy("arquivo").options(**options).csv(staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staging).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(path(folder))
+    for parts in fs.globStatus(path(f"{staging}/arquivo=*/part-*")):
+        name = parts.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(parts.getPath(), path(f"{folder}/{name}"))
+
+
+MONTHLY_FILES = f"""
+    SELECT 'pedidos_' || REPLACE(SUBSTRING({Duck.day('o_orderdate')}, 1, 7), '-', '_') || '.csv' AS arquivo, SUBSTRING({Duck.day('o_orderdate')}, 1, 7) AS mes, COUNT(*) AS linhas,
+           CAST(SUM(CAST(('0x' || SUBSTRING(MD5(CONCAT_WS(CHR(31), CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS VARCHAR),
+               {Duck.day('o_orderdate')}, o_orderpriority)), 1, 15)) AS BIGINT)) AS VARCHAR) AS resumo
+    FROM orders GROUP BY 1, 2"""
