@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from checks import layers
 from checks.registry import register
 from checks.sqltext import _NO_VALUE, big, corr, day, month, num, ratio, rnd, stamp, text
-from checks.standin import bronze, table
+from checks.standin import Duck, bronze, table
 from wattfold.config import BUSINESS_KEYS, HEADERS
-from wattfold.operators import ranking as R
+from wattfold.operators import ranking as R, sketches as SK
 from wattfold.plans import keys, quality as Q
 
 _REAL = "SELECT * FROM s_balanco WHERE NOT eh_agregado"
@@ -40,10 +40,14 @@ def profile_all_tables(spark, d):
     return Q.profile_tables(layers.bronze_tables(spark, d)).drop("qtd_valores_distintos")
 
 
-@register("profile_approx")
+@register("profile_approx", f"""
+    SELECT tabela, coluna, linhas_totais, qtd_nulos, qtd_sentinelas, pct_ausente, TRUE AS distintos_no_erro FROM ({_profile_sql('balanco_energia_subsistema', distinct=False)}) p""")
 def profile_approx(spark, d):
-    """The same with sketched distinct counts."""
-    return Q.profile(bronze(spark, d, "balanco_energia_subsistema"), "balanco_energia_subsistema")
+    """The same with sketched distinct counts, each held against the exact one: within three standard errors of 5 percent."""
+    b = bronze(spark, d, "balanco_energia_subsistema")
+    exact = Q.profile(b, "balanco_energia_subsistema", distinct="exact").select("coluna", F.col("qtd_valores_distintos").alias("exato"))
+    near = F.abs(F.col("qtd_valores_distintos") - F.col("exato")) <= 3 * 0.05 * F.col("exato") + 1
+    return Q.profile(b, "balanco_energia_subsistema").join(exact, "coluna").withColumn("distintos_no_erro", near).drop("qtd_valores_distintos", "exato")
 
 
 @register("absent_columns", f"SELECT tabela, coluna, linhas_totais, qtd_nulos, qtd_sentinelas, pct_ausente FROM ({_ALL_PROFILES}) WHERE pct_ausente > 0")
@@ -238,10 +242,59 @@ def outliers_exact(spark, d):
     return Q.outlier_report(*[layers.read(spark, d, t) for t in ("s_balanco", "s_ear", "s_restricao")], exact=True)
 
 
-@register("outliers_approx")
+@register("outliers_approx", """
+    SELECT 'Carga do subsistema (MWmed)' AS metrica, COUNT(carga_mwmed) AS n, TRUE AS q1_no_erro, TRUE AS mediana_no_erro, TRUE AS q3_no_erro FROM s_balanco WHERE NOT eh_agregado
+    UNION ALL SELECT 'Geração eólica (MWmed)', COUNT(ger_eolica_mwmed), TRUE, TRUE, TRUE FROM s_balanco WHERE NOT eh_agregado
+    UNION ALL SELECT 'Geração solar (MWmed)', COUNT(ger_solar_mwmed), TRUE, TRUE, TRUE FROM s_balanco WHERE NOT eh_agregado
+    UNION ALL SELECT 'Intercâmbio (MWmed)', COUNT(intercambio_mwmed), TRUE, TRUE, TRUE FROM s_balanco WHERE NOT eh_agregado
+    UNION ALL SELECT 'EAR (%)', COUNT(ear_percentual), TRUE, TRUE, TRUE FROM s_ear WHERE NOT eh_agregado
+    UNION ALL SELECT 'Corte por usina / 30 min (MWh)', COUNT(corte_mwh), TRUE, TRUE, TRUE FROM s_restricao WHERE houve_restricao""")
 def outliers_approx(spark, d):
-    """The same from sketched quartiles, in one pass less."""
-    return Q.outlier_report(*[layers.read(spark, d, t) for t in ("s_balanco", "s_ear", "s_restricao")])
+    """Sketched quartiles of the outlier measures, each held against exact ranks: within a thousandth of the rows."""
+    frames = [layers.read(spark, d, t) for t in ("s_balanco", "s_ear", "s_restricao")]
+    return Q.stack([Q.quartile_ranks(*m) for m in Q.outlier_measures(*frames)])
+
+
+_MONTH = f"SUBSTRING({Duck.day('o_orderdate')}, 1, 7)"
+
+
+def _orders_by_month(spark, d):
+    month = F.substring(F.date_format("o_orderdate", "yyyy-MM-dd"), 1, 7).alias("mes")
+    return table(spark, d, "orders").select(month, "o_custkey", F.col("o_totalprice").cast("double").alias("valor"))
+
+
+@register("distinct_states", f"""
+    SELECT mes, COUNT(DISTINCT o_custkey) AS distintos, TRUE AS estimativa_no_erro FROM (SELECT {_MONTH} AS mes, o_custkey FROM orders) o GROUP BY 1
+    UNION ALL SELECT 'ano ' || SUBSTRING(mes, 1, 4), COUNT(DISTINCT o_custkey), TRUE FROM (SELECT {_MONTH} AS mes, o_custkey FROM orders) o GROUP BY 1
+    UNION ALL SELECT 'total', COUNT(DISTINCT o_custkey), TRUE FROM orders""")
+def distinct_states(spark, d):
+    """Customers per month, year and in all: exact from bitmaps kept per month, and whether HLL sketches agree within four standard errors."""
+    orders = _orders_by_month(spark, d)
+    bits, sketches = SK.bitmap_state(orders, ["mes"], "o_custkey"), SK.hll_state(orders, ["mes"], "o_custkey")
+    year = F.concat(F.lit("ano "), F.substring("mes", 1, 4))
+    levels = []
+    for name in (F.col("mes"), year, F.lit("total")):
+        exact = SK.bitmap_distinct(SK.merge_bitmaps(bits.withColumn("mes", name), ["mes"]), ["mes"])
+        levels.append(exact.join(SK.hll_distinct(sketches.withColumn("mes", name), ["mes"]), "mes"))
+    near = F.abs(F.col("distintos_estimados") - F.col("distintos")) <= 4 * SK.distinct_error() * F.col("distintos") + 1
+    return Q.stack(levels).select("mes", "distintos", near.alias("estimativa_no_erro"))
+
+
+@register("quantile_states", f"""
+    SELECT mes, COUNT(*) AS n, TRUE AS p10_no_erro, TRUE AS mediana_no_erro, TRUE AS p99_no_erro FROM (SELECT {_MONTH} AS mes FROM orders) o GROUP BY 1
+    UNION ALL SELECT 'total', COUNT(*), TRUE, TRUE, TRUE FROM orders""")
+def quantile_states(spark, d):
+    """Order values' quantiles from KLL sketches kept per month and merged, each held against exact ranks: within twice the stated error."""
+    orders, probs = _orders_by_month(spark, d), {"p10": 0.1, "mediana": 0.5, "p99": 0.99}
+    state = SK.kll_state(orders, ["mes"], "valor")
+    merged = SK.merge_kll(state.withColumn("mes", F.lit("total")), ["mes"])
+    checked = []
+    for rows, found in ((orders, state), (orders.withColumn("mes", F.lit("total")), merged)):
+        bounds = [side.alias(f"{name}_{k}") for name in probs for k, side in enumerate(SK.rank_bounds("valor", name))]
+        ranks = rows.join(SK.kll_quantiles(found, probs), "mes").groupBy("mes").agg(F.count("valor").alias("linhas"), F.max("n").alias("n"), *bounds)
+        near = [SK.within_rank_error(F.col(f"{name}_0"), F.col(f"{name}_1"), p, 2 * SK.rank_error(), F.col("n")).alias(f"{name}_no_erro") for name, p in probs.items()]
+        checked.append(ranks.filter("linhas = n").select("mes", F.col("n").cast("long").alias("n"), *near))
+    return Q.stack(checked)
 
 
 @register("exact_quantiles", f"""

@@ -10,7 +10,8 @@ from wattfold.plans import dims, facts, keys, quality, silver
 from wattfold.plans.documentation import COLUMN_COMMENTS, TABLE_COMMENTS
 from wattfold.plans.reports import Star
 from wattfold.session import tune
-from wattfold.sources.bronze import read_bronze
+from wattfold.sources import landing as landings
+from wattfold.sources.bronze import CONTROL_COLUMNS, read_bronze
 from wattfold.sources.files import file_status, list_files, manifest, selected_files
 from wattfold.sources.shared import checkpointed
 from wattfold.sources.tables import observed, scan, write_table
@@ -55,6 +56,24 @@ def run_bronze(spark: SparkSession, landing: str, layers: Layers = Layers(), per
     return rows
 
 
+def run_landing(spark: SparkSession, landing: str, store: str, layers: Layers = Layers(), period: Period = Period()) -> dict[str, int]:
+    """Lands the files that are new since the last run and sets the bronze tables to the window's rows of all landed files.
+
+    ``store`` is a folder that outlives the run: it holds, for each dataset, landed rows, manifest and checkpoint. Files already
+    landed are not read again. Returns rows per bronze table.
+    """
+    rows = {}
+    for name, periodicity in PERIODICITY.items():
+        if not landings.exists(spark, f"{landing}/{name}"):
+            continue
+        target = f"{store}/{name}"
+        landings.land(spark, landing, name, HEADERS[name], target, periodicity)
+        if landings.exists(spark, f"{target}/linhas"):
+            landed = landings.landed_rows(spark, target, periodicity, period).select(*HEADERS[name], *CONTROL_COLUMNS)
+            rows[name] = _documented(landed, layers.bronze, name)["linhas"]
+    return rows
+
+
 def typed_tables(spark: SparkSession, layers: Layers = Layers()) -> dict[str, tuple]:
     """Silver table name to typed frame, reject rules and business key."""
     b = lambda name: scan(spark, layers.bronze, name)

@@ -11,6 +11,7 @@ from wattfold.config import RECONCILE_TOLERANCE, SENTINELS
 from wattfold.functions.clean import CLEANERS, clean_text, has_newline, is_sentinel, visible_null
 from wattfold.functions.measures import month_text, ratio_pct
 from wattfold.operators.ranking import approximate_quantiles, exact_quantiles
+from wattfold.operators.sketches import rank_bounds, within_rank_error
 from wattfold.operators.stats import safe_corr
 
 
@@ -356,10 +357,10 @@ def outliers(df: DataFrame, column: str, label: str, condition: str | Column | N
     )
 
 
-def outlier_report(balance: DataFrame, storage: DataFrame, curtailment: DataFrame, exact=False) -> DataFrame:
-    """The six measures checked for outliers."""
+def outlier_measures(balance: DataFrame, storage: DataFrame, curtailment: DataFrame) -> list[tuple[DataFrame, str, str, str]]:
+    """The six measures checked for outliers: frame, column, label and condition."""
     real = "NOT eh_agregado"
-    tests = [
+    return [
         (balance, "carga_mwmed", "Carga do subsistema (MWmed)", real),
         (balance, "ger_eolica_mwmed", "Geração eólica (MWmed)", real),
         (balance, "ger_solar_mwmed", "Geração solar (MWmed)", real),
@@ -367,7 +368,23 @@ def outlier_report(balance: DataFrame, storage: DataFrame, curtailment: DataFram
         (storage, "ear_percentual", "EAR (%)", real),
         (curtailment, "corte_mwh", "Corte por usina / 30 min (MWh)", "houve_restricao"),
     ]
-    return stack([outliers(*t, exact=exact) for t in tests])
+
+
+def outlier_report(balance: DataFrame, storage: DataFrame, curtailment: DataFrame, exact=False) -> DataFrame:
+    """Quartiles, fences and outliers of every measure."""
+    return stack([outliers(*t, exact=exact) for t in outlier_measures(balance, storage, curtailment)])
+
+
+def quartile_ranks(df: DataFrame, column: str, label: str, condition: str, accuracy=1000) -> DataFrame:
+    """One row: the rows of a measure, and whether each sketched quartile has the rank that the sketch's accuracy promises."""
+    values = df.filter(condition).select(F.col(column).alias("x")).filter(F.col("x").isNotNull())
+    found = approximate_quantiles(values, "x", _QUARTILES, accuracy).select(F.struct(*_QUARTILES).alias("q")).scalar()
+    counted = values.withColumn("q", found).agg(
+        F.count("*").alias("n"),
+        *[side.alias(f"{name}_{k}") for name in _QUARTILES for k, side in enumerate(rank_bounds("x", F.col("q")[name]))],
+    )
+    near = [within_rank_error(F.col(f"{name}_0"), F.col(f"{name}_1"), p, 1 / accuracy, F.col("n")).alias(f"{name}_no_erro") for name, p in _QUARTILES.items()]
+    return counted.select(F.lit(label).alias("metrica"), "n", *near)
 
 
 # --- coverage over time -----------------------------------------------------------------

@@ -74,14 +74,15 @@ def land(
     query.awaitTermination()
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether there is a file or folder, in whatever store it lies."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
 
 def landed_manifest(spark: SparkSession, target: str) -> DataFrame:
     """One row per landed file with rows: name, path, size, period, rows, content digest and batch; empty before the first landing."""
-    if not _exists(spark, f"{target}/manifesto"):
+    if not exists(spark, f"{target}/manifesto"):
         return spark.createDataFrame([], _MANIFEST)
     return spark.read.schema(_MANIFEST).parquet(f"{target}/manifesto")
 
@@ -99,8 +100,8 @@ def landing_status(spark: SparkSession, landing: str, target: str, since: int =
     """Every file that lies in the landing folder or was landed before, with its ``status`` and ``situacao``.
 
     status: novo (landed in batch ``since`` or later), cache (landed before), pendente (not landed yet, or landed without a
-    row: a header alone), vazio (no byte), alterado (its size is not the landed one: a published file was replaced under its
-    name; it is not landed again), ausente (landed, and no longer there). situacao: selecionado, fora_da_janela or sem_periodo.
+    row: a header alone), alterado (its size is not the landed one: a published file was replaced under its name; it is not
+    landed again), ausente (landed, and no longer there). A file without a byte is not listed. situacao: selecionado, fora_da_janela or sem_periodo.
     """
     listed = list_files(spark, landing).select("dataset", "arquivo", F.col("bytes").alias("agora"))
     known = landed_manifest(spark, target).select("dataset", "arquivo", "bytes", "linhas", "resumo", F.col("_lote").alias("lote"))
@@ -108,7 +109,7 @@ def landing_status(spark: SparkSession, landing: str, target: str, since: int =
     status = (
         F.when(F.col("agora").isNull(), "ausente").when(F.col("lote").isNotNull() & (F.col("agora") != F.col("bytes")), "alterado")
         .when(F.col("lote") >= since, "novo").when(F.col("lote").isNotNull(), "cache")
-        .when(F.col("agora") == 0, "vazio").otherwise("pendente")
+        .otherwise("pendente")
     )
     inside = F.lit("selecionado") if period is None or periodicity == "single" else (
         F.when(named_period(periodicity).isNull(), "sem_periodo").when(_inside(periodicity, period), "selecionado").otherwise("fora_da_janela"))
