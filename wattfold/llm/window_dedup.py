@@ -25,7 +25,7 @@ WINDOW, SEED_WORDS = 20, 4
 #: Bytes of text that a task settles at a time.
 BLOCK_BYTES = 2_500_000
 #: Buckets of each shuffle partition.
-BUCKETS = 16
+BUCKETS = 4
 _WORD, _WINDOW, _OTHER, _SEED = (T.Roller(i) for i in (21, 22, 23, 24))
 
 
