@@ -10,7 +10,8 @@ from checks.sqltext import _NO_VALUE, big, corr, day, month, num, ratio, rnd, st
 from checks.standin import Duck, bronze, table
 from wattfold.config import BUSINESS_KEYS, HEADERS
 from wattfold.operators import ranking as R, sketches as SK
-from wattfold.plans import keys, quality as Q
+from wattfold.plans import guard, keys, quality as Q
+from wattfold.sources.shared import shared_folder
 
 _REAL = "SELECT * FROM s_balanco WHERE NOT eh_agregado"
 
@@ -179,6 +180,40 @@ def plausibility_rules(spark, d):
 _NIGHT = "HOUR(din_instante) BETWEEN 0 AND 4 AND ger_solar_mwmed > 1"
 
 
+_EARLY = "o_orderdate < DATE '1996-01-01'"
+_LOADS = {"c1": (_EARLY, 3), "c2": ("TRUE", 60), "c3": ("TRUE", 3)}
+
+
+def _load_sql(name, where, modulus):
+    """Rows read, per rule and warning of one load; the first and the third load are within their limits."""
+    low = f"o_custkey % 100 < {modulus}"
+    pick = f"FROM orders WHERE {where}"
+    done = f"(SELECT COUNT(*) FILTER (WHERE {low} OR o_totalprice < 1000) * 100.0 <= 10 * COUNT(*) {pick})"
+    kept = {"c1": f"SELECT COUNT(*) FROM orders WHERE {_EARLY} AND NOT (o_custkey % 100 < 3 OR o_totalprice < 1000)"}
+    kept["c2"], kept["c3"] = kept["c1"], "SELECT COUNT(*) FROM orders WHERE NOT (o_custkey % 100 < 3 OR o_totalprice < 1000)"
+    return f"""SELECT '{name}' AS carga, CASE WHEN {done} THEN 'gravada' ELSE 'recusada' END AS situacao, COUNT(*) AS linhas_lidas, COUNT(*) FILTER (WHERE {low}) AS cliente_retido,
+        COUNT(*) FILTER (WHERE NOT {low} AND o_totalprice < 1000) AS valor_baixo, COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS aberto_em_parte,
+        COUNT(*) FILTER (WHERE {low} OR o_totalprice < 1000) AS em_quarentena, ({kept[name]}) AS linhas_da_tabela {pick}"""
+
+
+@register("guarded_load", " UNION ALL ".join(_load_sql(n, *v) for n, v in _LOADS.items()))
+def guarded_load(spark, d):
+    """Three loads of orders: some rows, then all with a rule that rejects most of them and so is refused, then all."""
+    base, orders, reports = shared_folder(spark), table(spark, d, "orders"), []
+    target, quarantine = f"{base}/tabela", f"{base}/quarentena"
+    for name, (where, modulus) in _LOADS.items():
+        rules = {"cliente_retido": F.col("o_custkey") % 100 < modulus, "valor_baixo": F.col("o_totalprice") < 1000}
+        report = guard.guarded_load(
+            orders.filter(where), name, rules, lambda good: good.write.mode("overwrite").parquet(target), quarantine, 10.0,
+            warnings={"aberto_em_parte": F.col("o_orderstatus") == "P"}, limits={"aberto_em_parte": 90.0})
+        report["linhas_da_tabela"] = spark.read.parquet(target).count()
+        reports.append(report)
+    held = guard.quarantined(spark, quarantine).groupBy("carga").agg(F.count("*").alias("em_quarentena"))
+    columns = ["carga", "situacao", "linhas_lidas", "cliente_retido", "valor_baixo", "aberto_em_parte", "linhas_da_tabela"]
+    told = spark.createDataFrame([tuple(r[c] for c in columns) for r in reports], "carga string, situacao string, " + ", ".join(f"{c} long" for c in columns[2:]))
+    return told.join(held, "carga", "left").select(*columns[:-1], F.coalesce("em_quarentena", F.lit(0)).alias("em_quarentena"), "linhas_da_tabela")
+
+
 @register("night_solar", f"""
     SELECT id_subsistema, CAST(YEAR(din_instante) AS INTEGER) AS ano, COUNT(*) AS horas, {rnd('AVG(ger_solar_mwmed)', 1)} AS media_mwmed,
            {rnd('MAX(ger_solar_mwmed)', 1)} AS maximo_mwmed FROM ({_REAL}) WHERE {_NIGHT} GROUP BY 1, 2""")
@@ -350,6 +385,20 @@ def coverage_gaps(spark, d):
     return Q.gaps(layers.read(spark, d, "s_ear"), "id_subsistema", "dat_referencia", "1 DAY")
 
 
+_USER_HOURS = "SELECT DISTINCT user_id % 50 AS grupo, date_trunc('hour', ts) AS hora FROM events"
+
+
+@register("coverage_runs", f"""
+    SELECT grupo, MIN(hora) AS inicio, MAX(hora) AS fim, COUNT(*) AS slots, CAST(COALESCE(MAX(falta), 0) AS BIGINT) AS faltantes_antes
+    FROM (SELECT *, SUM(CASE WHEN falta = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY grupo ORDER BY hora) AS corrida FROM
+      (SELECT *, date_diff('hour', LAG(hora) OVER (PARTITION BY grupo ORDER BY hora), hora) - 1 AS falta FROM ({_USER_HOURS}) u) g) h
+    GROUP BY grupo, corrida""")
+def coverage_runs(spark, d):
+    """Unbroken runs of hours with events of each group of users."""
+    e = table(spark, d, "events").select((F.col("user_id") % 50).alias("grupo"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hora"))
+    return Q.present_runs(e, "grupo", "hora", "1 HOUR")
+
+
 @register("totals_overview", f"""
     SELECT eh_agregado, COUNT(DISTINCT id_subsistema) AS qtd_subsistemas, {rnd('SUM(carga_mwmed) / 1e6', 2)} AS carga_total_tw_med,
            MIN(din_instante) AS inicio, MAX(din_instante) AS fim FROM s_balanco GROUP BY eh_agregado""")

@@ -7,9 +7,10 @@ with adaptive execution splitting hot keys. Single values reach other rows as sc
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def enrich(df: DataFrame, other: DataFrame, on) -> DataFrame:
@@ -43,6 +44,47 @@ def orphan_count(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -
     )
 
 
+def _key_text(column: str, kind: T.DataType) -> Column:
+    """A key as text, so that keys of all types stack; equal keys of one type have equal texts."""
+    value = F.col(column).cast(kind)
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    return (value + F.lit(0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else value).cast("string")
+
+
+def orphan_counts(tables: Mapping[str, DataFrame], keys: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """What ``orphan_count`` says of many ``(fact, fact key, dimension, dimension key)``, with one scan per fact and dimension.
+
+    A fact's keys are turned into rows of (key, value) inside the task and counted there, so a hot key leaves it as one row, and
+    a single anti-join meets the distinct values of all facts with the stacked keys of all dimensions. A key without orphans has
+    a row of zeros. Both sides of a key are compared in the type Spark would give their union.
+    """
+    asked: dict[str, list] = {}
+    offered: dict[str, dict] = {}
+    numbers: dict[tuple, str] = {}
+    for at, (fact, column, dim, dim_column) in enumerate(keys):
+        kind = tables[fact].select(F.col(column).alias("k")).union(tables[dim].select(F.col(dim_column).alias("k"))).schema[0].dataType
+        name = numbers.setdefault((dim, dim_column, kind.simpleString()), str(len(numbers)))
+        asked.setdefault(fact, []).append((str(at), name, _key_text(column, kind)))
+        offered.setdefault(dim, {})[name] = _key_text(dim_column, kind)
+    facts = [tables[f].select(*[text.alias(at) for at, _, text in rows]).unpivot([], [at for at, *_ in rows], "_at", "_key") for f, rows in asked.items()]
+    known = [tables[d].select(*[text.alias(n) for n, text in rows.items()]).unpivot([], list(rows), "_dim", "_key") for d, rows in offered.items()]
+    dim_of = F.create_map(*[F.lit(x) for rows in asked.values() for at, name, _ in rows for x in (at, name)])
+    per_key = reduce(DataFrame.unionAll, facts).groupBy("_at", "_key").agg(F.count("*").alias("_rows"))
+    orphans = per_key.withColumn("_dim", dim_of[F.col("_at")]).join(reduce(DataFrame.unionAll, known), ["_dim", "_key"], "left_anti")
+    found = orphans.select("_at", "_rows", F.lit(1).alias("_one"), F.when(F.col("_key").isNull(), F.col("_rows")).alias("_null"))
+    labels = [(str(at), f"{fact}.{column} -> {dim}") for at, (fact, column, dim, _) in enumerate(keys)]
+    spark = tables[keys[0][0]].sparkSession
+    none = spark.createDataFrame(labels, "_at string, verificacao string").select("_at", F.lit(0).alias("_rows"), F.lit(0).alias("_one"), F.lit(0).alias("_null"))
+    label_of = F.create_map(*[F.lit(x) for row in labels for x in row])
+    zero = F.lit(0).cast("long")
+    sums = found.unionAll(none).groupBy("_at").agg(*[
+        F.coalesce(F.sum(c), zero).alias(name)
+        for c, name in (("_rows", "chaves_orfas"), ("_one", "valores_distintos_orfaos"), ("_null", "linhas_com_chave_nula"))
+    ])
+    return sums.select(label_of[F.col("_at")].alias("verificacao"), "chaves_orfas", "valores_distintos_orfaos", "linhas_com_chave_nula")
+
+
 def roles_by_key(fact: DataFrame, key: str, role_column: str, roles: dict[str, str], values: dict[str, str]) -> DataFrame:
     """A fact used in several roles at once, one row per key.
 

@@ -57,6 +57,14 @@ def with_average_rank(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.join(ranks, column, "left")
 
 
+def series_rank(column: str) -> Column:
+    """Average rank in a calendar-bounded series (one row per day, say), as windows over one scan; NULL keeps a NULL rank."""
+    missing = F.col(column).isNull()
+    smaller = Window.partitionBy(missing).orderBy(column)
+    tied = F.count("*").over(Window.partitionBy(missing, F.col(column)))
+    return F.when(~missing, F.rank().over(smaller) + (tied - 1) / 2)
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Mapping[str, float]) -> DataFrame:
     """One row of exact quantiles with linear interpolation, and the row count ``n``."""
     counts = ordered_counts(df, column)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattfold.config import CORRELATION_BANDS
 from wattfold.functions.measures import band
@@ -22,6 +22,62 @@ def safe_corr(x, y) -> Column:
     return F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
 
 
+def comoment_state(df: DataFrame, by: Sequence[str], x, y) -> DataFrame:
+    """Centred co-moments of the complete pairs of each group: ``n``, means, sums of squares and of products around the means.
+
+    Fixed-width sums that combine in each task. States of finer groups merge into coarser ones without the rows, and
+    correlation, trend and the correlation without seasons are all read from one state.
+    """
+    x, y = _as_col(x).cast("double"), _as_col(y).cast("double")
+    px, py = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    n = F.count(px)
+    return df.groupBy(*by).agg(
+        n.alias("n"), F.avg(px).alias("mx"), F.avg(py).alias("my"), (F.var_pop(px) * n).alias("sxx"),
+        (F.var_pop(py) * n).alias("syy"), (F.covar_pop(px, py) * n).alias("sxy"),
+    )
+
+
+def merge_comoments(state: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The states of finer groups as states of coarser ones.
+
+    The means of the coarser groups come first and meet the states again, so that each is centred on its own mean: large values
+    that differ little lose no digits, whatever the other groups hold.
+    """
+    n, by = F.col("n"), list(by)
+    placed = state.filter(n > 0)
+    middle = [F.sum(n).alias("_n"), F.try_divide(F.sum(n * F.col("mx")), F.sum(n)).alias("_x"), F.try_divide(F.sum(n * F.col("my")), F.sum(n)).alias("_y")]
+    if by:
+        means = placed.groupBy(*[F.col(c).alias(f"_b_{c}") for c in by]).agg(*middle)
+        placed = placed.join(means, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by])
+    else:
+        placed = placed.withColumn("_c", placed.agg(*middle).select(F.struct("_n", "_x", "_y")).scalar()).select("*", "_c.*")
+    dx, dy = F.col("mx") - F.col("_x"), F.col("my") - F.col("_y")
+    return placed.groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("_x").alias("mx"), F.max("_y").alias("my"), F.sum(F.col("sxx") + n * dx * dx).alias("sxx"),
+        F.sum(F.col("syy") + n * dy * dy).alias("syy"), F.sum(F.col("sxy") + n * dx * dy).alias("sxy"),
+    )
+
+
+def within_groups(state: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The state of values less their group's mean: differences between the groups of ``state`` count for nothing."""
+    return state.groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"), *[F.sum(c).alias(c) for c in ("sxx", "syy", "sxy")])
+
+
+def state_corr() -> Column:
+    """Pearson correlation of a state; NULL where a side does not vary."""
+    return F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy")))
+
+
+def state_trend() -> list[Column]:
+    """Slope, intercept and r2 of y over x of a state."""
+    slope = F.try_divide(F.col("sxy"), F.col("sxx"))
+    return [
+        slope.alias("inclinacao"), (F.col("my") - slope * F.col("mx")).alias("intercepto"),
+        F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx") * F.col("syy")).alias("r2"),
+    ]
+
+
 def spearman(df: DataFrame, x: str, y: str, name: str) -> DataFrame:
     """One row: Pearson correlation of average ranks. Each column is ranked over its own non-NULL values."""
     ranked = with_average_rank(with_average_rank(df.select(x, y), x, "_rx"), y, "_ry")
@@ -43,6 +99,11 @@ def deseasonalise(df: DataFrame, columns: Sequence[str], by: str, suffix="_des",
     return joined.select(*df.columns, *adjusted)
 
 
+def without_season(column: str, by: str) -> Column:
+    """A column of a calendar-bounded series less its mean over the row's season, as a window over one scan."""
+    return F.col(column) - F.avg(column).over(Window.partitionBy(by))
+
+
 def linear_trend(y, x) -> list[Column]:
     """Least-squares slope, intercept and r2 of y over x, as aggregates."""
     y, x = _as_col(y), _as_col(x)

@@ -8,6 +8,7 @@ from wattfold.config import BUSINESS_KEYS, HEADERS, Layers, PERIODICITY, Period
 from wattfold.operators.conform import accepted, dedupe, reject_counts, reject_reason
 from wattfold.plans import dims, facts, keys, quality, silver
 from wattfold.plans.documentation import COLUMN_COMMENTS, TABLE_COMMENTS
+from wattfold.plans.guard import guarded_load
 from wattfold.plans.reports import Star
 from wattfold.session import tune
 from wattfold.sources import landing as landings
@@ -88,13 +89,21 @@ def typed_tables(spark: SparkSession, layers: Layers = Layers()) -> dict[str, tu
     return {name: (typed, silver.no_key(rules, key), key) for name, (typed, rules, key) in tables.items()}
 
 
-def run_silver(spark: SparkSession, layers: Layers = Layers()) -> dict[str, dict]:
+def run_silver(spark: SparkSession, layers: Layers = Layers(), refuse_above_pct: float | None = None, quarantine: str | None = None) -> dict[str, dict]:
     """Writes the silver tables. Rows read, rejected and kept come from the write itself: one run per table.
 
-    A row counts for the first rule it breaks; ``chave_ausente`` is stated where it rejects a row.
+    A row counts for the first rule it breaks; ``chave_ausente`` is stated where it rejects a row. With ``refuse_above_pct`` a
+    table of which more rows are rejected keeps what it holds, and rejected rows go to folders under ``quarantine``.
     """
+    if refuse_above_pct is not None and quarantine is None:
+        raise ValueError("name a quarantine folder for the rejected rows")
     result = {}
     for name, (typed, rules, key) in typed_tables(spark, layers).items():
+        if refuse_above_pct is not None:
+            latest, written = [c for c in silver.LATEST if c in typed.columns], {}
+            replace = lambda good, k=key, l=latest, n=name, w=written: w.update(_documented(dedupe(good, k, l), layers.silver, n))
+            result[name] = {**guarded_load(typed, name, rules, replace, f"{quarantine}/{name}", refuse_above_pct), **written}
+            continue
         why = reject_reason(rules)
         counts = {"linhas_lidas": F.count(F.lit(1)), **{r: F.count_if(F.coalesce(why == r, F.lit(False))) for r in rules}}
         watched, watch = observed(typed, f"read_{name}", counts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattfold.config import RECONCILE_TOLERANCE, SENTINELS
 from wattfold.functions.clean import CLEANERS, clean_text, has_newline, is_sentinel, visible_null
@@ -411,16 +411,79 @@ def coverage_by_month(df: DataFrame, ts: str, entity: str) -> DataFrame:
     )
 
 
+# --- fixed values: seconds of a step's unit
+_UNIT_SECONDS = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400}
+#: Slots of a range: what one window or one generated array holds at most.
+RANGE_SLOTS = 1024
+
+
+def _grid(df: DataFrame, slot: str, step: str):
+    """(slot as seconds, a column's slot ``n`` steps after ``_first``) for a date or timestamp column and a step like ``30 MINUTES``."""
+    amount, _, unit = step.upper().partition(" ")
+    unit = unit.strip().removesuffix("S")
+    if unit not in _UNIT_SECONDS or int(amount) < 1:
+        raise ValueError(f"a step is a number of seconds, minutes, hours or days: {step}")
+    size, is_date = int(amount) * _UNIT_SECONDS[unit], df.schema[slot].dataType.typeName() == "date"
+    if is_date and size % 86400:
+        raise ValueError(f"dates lie whole days apart: {step}")
+    seconds = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400 + (
+        F.lit(0) if is_date else F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
+    if is_date:
+        return size, seconds, lambda n: F.date_add("_first", (F.col(n) * (size // 86400)).cast("int"))
+    return size, seconds, lambda n: F.expr(f"_first + INTERVAL {size} SECONDS * {n}")
+
+
+def _placed(df: DataFrame, entity: str, slot: str, step: str) -> DataFrame:
+    """Present slots of each entity with their number on its grid ``_n``, the one present before it and the range they lie in.
+
+    Slots off the grid that an entity's first slot sets, and NULL slots, do not count. Neighbours are found inside ranges of the
+    grid; a range's first slot follows the last one of the range before, taken from one row per entity and range.
+    """
+    size, seconds, _ = _grid(df, slot, step)
+    present = df.filter(F.col(slot).isNotNull()).select(F.col(entity).alias("_e"), F.col(slot).alias("_slot")).distinct()
+    first = present.groupBy(F.col("_e").alias("_owner")).agg(F.min("_slot").alias("_first"))
+    away = seconds(F.col("_slot")) - seconds(F.col("_first"))
+    placed = present.join(first, F.col("_e").eqNullSafe(F.col("_owner"))).withColumn("_away", away).filter(F.col("_away") % size == 0)
+    placed = placed.select("_e", "_slot", "_first", F.expr(f"_away DIV {size}").alias("_n")).withColumn("_r", F.expr(f"_n DIV {RANGE_SLOTS}"))
+    edges = placed.groupBy(F.col("_e").alias("_owner"), F.col("_r").alias("_range")).agg(F.max("_n").alias("_last"))
+    edges = edges.withColumn("_edge", F.lag("_last").over(Window.partitionBy("_owner").orderBy("_range"))).drop("_last")
+    near = F.lag("_n").over(Window.partitionBy("_e", "_r").orderBy("_n"))
+    met = placed.withColumn("_near", near).join(edges, F.col("_e").eqNullSafe(F.col("_owner")) & (F.col("_r") == F.col("_range")))
+    return met.select("_e", "_slot", "_first", "_n", "_r", F.coalesce("_near", "_edge").alias("_before"))
+
+
 def gaps(df: DataFrame, entity: str, slot: str, step: str) -> DataFrame:
     """Slots missing between each entity's first and last slot.
 
-    Expected slots are generated per entity and spread by (entity, slot), which is also the key of the anti-join, so
-    a long series is not held in one task.
+    What is missing is told from neighbouring present slots; expected slots are never generated, and a long gap is
+    written out in pieces, so neither a long series nor a long gap is held in one row or task.
+    """
+    _, _, at = _grid(df, slot, step)
+    holes = _placed(df, entity, slot, step).filter(F.col("_n") - F.col("_before") > 1)
+    pieces = holes.select("_e", "_first", "_n", F.explode(F.sequence(F.col("_before") + 1, F.col("_n") - 1, F.lit(RANGE_SLOTS))).alias("_a"))
+    missing = pieces.select("_e", "_first", F.explode(F.sequence("_a", F.least(F.col("_a") + (RANGE_SLOTS - 1), F.col("_n") - 1))).alias("_k"))
+    return missing.select(F.col("_e").alias(entity), at("_k").alias(slot))
+
+
+def present_runs(df: DataFrame, entity: str, slot: str, step: str) -> DataFrame:
+    """Unbroken runs of present slots of each entity: first and last slot, slots, and slots missing before the run (0 for the first).
+
+    Runs are numbered inside ranges and shifted by the runs that earlier ranges begin, so a run crosses ranges freely.
     """
-    present = df.select(entity, slot).distinct()
-    spans = present.groupBy(entity).agg(F.min(slot).alias("_a"), F.max(slot).alias("_b"))
-    expected = spans.select(entity, F.explode(F.expr(f"sequence(_a, _b, INTERVAL {step})")).alias(slot))
-    return expected.join(present, [entity, slot], "left_anti")
+    placed = _placed(df, entity, slot, step)
+    begins = F.col("_before").isNull() | (F.col("_n") - F.col("_before") > 1)
+    placed = placed.withColumn("_begins", begins.cast("long"))
+    per_range = placed.groupBy(F.col("_e").alias("_owner"), F.col("_r").alias("_range")).agg(F.sum("_begins").alias("_c"))
+    earlier = Window.partitionBy("_owner").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = per_range.select("_owner", "_range", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy("_e", "_r").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = placed.withColumn("_local", F.sum("_begins").over(inside)).join(
+        shifts, F.col("_e").eqNullSafe(F.col("_owner")) & (F.col("_r") == F.col("_range")))
+    missing = F.when(F.col("_begins") == 1, F.col("_n") - F.col("_before") - 1)
+    return numbered.groupBy("_e", (F.col("_local") + F.col("_shift")).alias("_run")).agg(
+        F.min("_slot").alias("inicio"), F.max("_slot").alias("fim"), F.count("*").alias("slots"),
+        F.coalesce(F.max(missing), F.lit(0)).alias("faltantes_antes"),
+    ).select(F.col("_e").alias(entity), "inicio", "fim", "slots", "faltantes_antes")
 
 
 # --- aggregate rows against real rows -----------------------------------------------------

@@ -15,8 +15,8 @@ from wattfold.functions.clean import collapse_whitespace
 from wattfold.functions.measures import ratio_pct
 from wattfold.operators.aggregate import best_row, pivot_matrix, share_of_total, share_within
 from wattfold.operators.joins import pre_aggregate, roles_by_key, star_join
-from wattfold.operators.ranking import consecutive_blocks, exact_quantiles, top_k, top_k_share
-from wattfold.operators.stats import correlation_label, deseasonalise, linear_trend, safe_corr, spearman
+from wattfold.operators.ranking import consecutive_blocks, exact_quantiles, series_rank, top_k, top_k_share
+from wattfold.operators.stats import correlation_label, linear_trend, safe_corr, without_season
 from wattfold.plans.documentation import require_additive
 
 REASON_COLUMNS = {"rel": "corte_rel_mwh", "cnf": "corte_cnf_mwh", "ene": "corte_ene_mwh", "par": "corte_par_mwh"}
@@ -450,23 +450,25 @@ def storage_series(star: Star, subsystem="NE", roles=None) -> DataFrame:
 
 
 def storage_correlations(star: Star) -> DataFrame:
-    """One row per storage series: Pearson, Spearman and deseasonalised Pearson against curtailment, and in words."""
-    daily = storage_series(star)
-    clean = deseasonalise(daily, ["corte_gwh", "ear_ne", "ear_se"], "mes", bounded=True)  # months of the year
-    parts = []
-    for name in ("ear_ne", "ear_se"):
-        parts.append(
-            clean.agg(
-                F.lit(name).alias("serie"),
-                safe_corr(name, "corte_gwh").alias("pearson"),
-                safe_corr(f"{name}_des", "corte_gwh_des").alias("pearson_dessazonalizado"),
-                F.count("*").alias("dias"),
-            ).select(
-                "serie", "dias", "pearson", spearman(daily, name, "corte_gwh", "rho").scalar().alias("spearman"),
-                "pearson_dessazonalizado", correlation_label(F.col("pearson")).alias("qualificacao"),
-            )
+    """One row per storage series: Pearson, Spearman and deseasonalised Pearson against curtailment, and in words.
+
+    The daily series is bounded by the calendar, so ranks and season means are windows over it and it is computed once.
+    """
+    measured = ["corte_gwh", "ear_ne", "ear_se"]
+    daily = storage_series(star).select("mes", *measured).select(
+        "*", *[without_season(c, "mes").alias(f"{c}_des") for c in measured], *[series_rank(c).alias(f"{c}_posto") for c in measured]
+    )
+    wide = daily.agg(F.count("*").alias("dias"), *[
+        safe_corr(f"{name}{kind}", f"corte_gwh{kind}").alias(f"{name}{kind}") for name in measured[1:] for kind in ("", "_posto", "_des")
+    ])
+    rows = wide.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(name).alias("serie"), "dias", F.col(name).alias("pearson"), F.col(f"{name}_posto").alias("spearman"),
+            F.col(f"{name}_des").alias("pearson_dessazonalizado"),
         )
-    return parts[0].unionByName(parts[1])
+        for name in measured[1:]
+    ])))
+    return rows.withColumn("qualificacao", correlation_label(F.col("pearson")))
 
 
 def storage_trend(star: Star, series="ear_ne") -> DataFrame:
