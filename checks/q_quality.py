@@ -9,7 +9,7 @@ from checks.registry import register
 from checks.sqltext import _NO_VALUE, big, corr, day, month, num, ratio, rnd, stamp, text
 from checks.standin import Duck, bronze, table
 from wattfold.config import BUSINESS_KEYS, HEADERS
-from wattfold.operators import ranking as R, sketches as SK
+from wattfold.operators import ranking as R, selection as X, sketches as SK
 from wattfold.plans import guard, keys, quality as Q
 from wattfold.sources.shared import shared_folder
 
@@ -339,6 +339,20 @@ def exact_quantiles(spark, d):
     return R.exact_quantiles(table(spark, d, "lineitem"), "l_quantity", {"mediana": 0.5, "p90": 0.9, "p001": 0.001})
 
 
+_MEASURES = {
+    "quantidade": "l_quantity", "preco": "l_extendedprice", "desconto": "l_discount", "preco_devolvido": "CASE WHEN l_returnflag = 'R' THEN l_extendedprice END",
+}
+_PROBS = {"minimo": 0.0, "p001": 0.001, "q1": 0.25, "mediana": 0.5, "p90": 0.9, "p999": 0.999, "maximo": 1.0}
+
+
+@register("quantiles_many_columns", " UNION ALL ".join(
+    f"SELECT '{name}' AS coluna, COUNT({x}) AS n, " + ", ".join(rnd(f"QUANTILE_CONT(CAST({x} AS DOUBLE), {p})", 6) + f" AS {q}" for q, p in _PROBS.items()) + " FROM lineitem"
+    for name, x in _MEASURES.items()))
+def quantiles_many_columns(spark, d):
+    """Exact quantiles of four measures in the same scans; only a thousand values may be put in order in one task."""
+    return X.quantile_table(table(spark, d, "lineitem"), {name: F.expr(x) for name, x in _MEASURES.items()}, _PROBS, fit=1000)
+
+
 @register("average_ranks", """
     SELECT o_totalprice AS value, MIN(r) + (COUNT(*) - 1) / 2.0 AS rank FROM (SELECT o_totalprice, RANK() OVER (ORDER BY o_totalprice) AS r FROM orders) GROUP BY 1""")
 def average_ranks(spark, d):

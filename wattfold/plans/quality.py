@@ -11,6 +11,7 @@ from wattfold.config import RECONCILE_TOLERANCE, SENTINELS
 from wattfold.functions.clean import CLEANERS, clean_text, has_newline, is_sentinel, visible_null
 from wattfold.functions.measures import month_text, ratio_pct
 from wattfold.operators.ranking import approximate_quantiles, exact_quantiles
+from wattfold.operators.selection import FIT, quantiles_of
 from wattfold.operators.sketches import rank_bounds, within_rank_error
 from wattfold.operators.stats import safe_corr
 
@@ -349,12 +350,35 @@ def outliers(df: DataFrame, column: str, label: str, condition: str | Column | N
         F.first("f").alias("f"),
         F.count_if((F.col("x") < F.col("f.lo")) | (F.col("x") > F.col("f.hi"))).alias("qtd_outliers"),
     )
-    return counted.select(
-        F.lit(label).alias("metrica"), "n", F.round("minimo", 3).alias("minimo"), F.round("f.q1", 3).alias("q1"),
-        F.round("f.mediana", 3).alias("mediana"), F.round("f.q3", 3).alias("q3"), F.round("maximo", 3).alias("maximo"),
-        F.round("f.lo", 3).alias("limite_inferior"), F.round("f.hi", 3).alias("limite_superior"), "qtd_outliers",
-        F.coalesce(F.round(F.try_divide(F.lit(100.0) * F.col("qtd_outliers"), F.col("n")), 3), F.lit(0.0)).alias("pct_outliers"),
-    )
+    return counted.select(*_outlier_columns(label, {c: F.col(c) for c in counted.columns}))
+
+
+def _outlier_columns(label: str, at: Mapping[str, Column]) -> list[Column]:
+    f = at["f"]
+    return [
+        F.lit(label).alias("metrica"), at["n"].alias("n"), F.round(at["minimo"], 3).alias("minimo"), F.round(f["q1"], 3).alias("q1"),
+        F.round(f["mediana"], 3).alias("mediana"), F.round(f["q3"], 3).alias("q3"), F.round(at["maximo"], 3).alias("maximo"),
+        F.round(f["lo"], 3).alias("limite_inferior"), F.round(f["hi"], 3).alias("limite_superior"), at["qtd_outliers"].alias("qtd_outliers"),
+        F.coalesce(F.round(F.try_divide(F.lit(100.0) * at["qtd_outliers"], at["n"]), 3), F.lit(0.0)).alias("pct_outliers"),
+    ]
+
+
+def outliers_together(df: DataFrame, measures: Sequence[tuple[str, str, str]], fit: int = FIT) -> DataFrame:
+    """Tukey fences from exact quartiles for all (column, label, condition) measures of a table.
+
+    ``quantiles_of`` finds the quartiles of all measures in the same few scans, run when called; the result is one more scan.
+    """
+    values = {label: F.when(F.expr(condition), F.col(column)).cast("double") for column, label, condition in measures}
+    quartiles = quantiles_of(df, values, _QUARTILES, fit)
+    aggs, rows = [], []
+    for i, (label, x) in enumerate(values.items()):
+        q = {name: F.lit(quartiles[label][name]).cast("double") for name in _QUARTILES}
+        spread = q["q3"] - q["q1"]
+        fences = q | {"lo": F.round(q["q1"] - 1.5 * spread, 9), "hi": F.round(q["q3"] + 1.5 * spread, 9)}
+        found = {"n": F.count(x), "minimo": F.min(x), "maximo": F.max(x), "qtd_outliers": F.count_if((x < fences["lo"]) | (x > fences["hi"]))}
+        aggs += [value.alias(f"{name}_{i}") for name, value in found.items()]
+        rows.append(F.struct(*_outlier_columns(label, {name: F.col(f"{name}_{i}") for name in found} | {"f": F.struct(*[v.alias(k) for k, v in fences.items()])})))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def outlier_measures(balance: DataFrame, storage: DataFrame, curtailment: DataFrame) -> list[tuple[DataFrame, str, str, str]]:
@@ -371,8 +395,11 @@ def outlier_measures(balance: DataFrame, storage: DataFrame, curtailment: DataFr
 
 
 def outlier_report(balance: DataFrame, storage: DataFrame, curtailment: DataFrame, exact=False) -> DataFrame:
-    """Quartiles, fences and outliers of every measure."""
-    return stack([outliers(*t, exact=exact) for t in outlier_measures(balance, storage, curtailment)])
+    """Quartiles, fences and outliers of every measure; exact ones table by table."""
+    measures = outlier_measures(balance, storage, curtailment)
+    if not exact:
+        return stack([outliers(*t) for t in measures])
+    return stack([outliers_together(t, [m[1:] for m in measures if m[0] is t]) for t in (balance, storage, curtailment)])
 
 
 def quartile_ranks(df: DataFrame, column: str, label: str, condition: str, accuracy=1000) -> DataFrame:
