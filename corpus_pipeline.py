@@ -84,7 +84,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
             )
         codec.forget()  # the worker lives on, into other stages
 
-    found = T.documents(docs, "source").mapInArrow(run, "doc_id long, source string, ids array<int>, n_tokens long, round_trip boolean")
+    found = T.documents(docs, "source").mapInArrow(T.leaving_nothing(run), "doc_id long, source string, ids array<int>, n_tokens long, round_trip boolean")
     return found.select(T.public_id(), "source", "ids", "n_tokens", "round_trip")
 
 

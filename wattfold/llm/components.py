@@ -12,6 +12,18 @@ def _least(pairs: DataFrame) -> DataFrame:
     return T.checkpointed(pairs.groupBy("a").agg(F.min("b").alias("m")))
 
 
+def _two(first: tuple[str, str], second: tuple[str, str]):
+    """Two pairs (a, b) from each row, made in one pass over it."""
+    return F.inline(F.array(*(F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in (first, second))))
+
+
+def _stars(pairs: DataFrame) -> bool:
+    """No node is both above one node and below another, and each has one centre; one shuffle."""
+    ends = pairs.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
+    odd = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0")
+    return odd.agg(F.count("*")).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (smallest node reachable) of every node of the links (a, b), nulls and loops aside.
 
@@ -24,17 +36,13 @@ def components(links: DataFrame) -> DataFrame:
     )
     while True:
         # Large star: every larger neighbour is linked to the smallest one around.
-        both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = pairs.select(_two(("a", "b"), ("b", "a")))
         least = _least(both)
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
         large = T.checkpointed(large)
         # Small star: smaller neighbours and the node itself are linked to the smallest one.
-        least = _least(large)
-        joined = large.join(least, "a")
-        small = joined.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(joined.select("a", F.col("m").alias("b"))).distinct()
+        small = large.join(_least(large), "a").select(_two(("a", "m"), ("b", "m"))).where("a <> b").distinct()
         small = T.checkpointed(small)
-        # Stars: no node is both above one node and below another, and each has one centre.
-        one = small.agg(F.count("*").alias("n"), F.count_distinct("a").alias("k")).first()
-        if one["n"] == one["k"] and not small.join(small.select(F.col("b").alias("a")).distinct(), "a", "left_semi").take(1):
+        if _stars(small):
             return small.select(F.col("a").alias("node"), F.col("b").alias("component")).union(small.select("b", "b").distinct())
         pairs = small

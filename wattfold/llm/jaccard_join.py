@@ -143,7 +143,7 @@ def set_rows(docs: DataFrame, size: int, whole: bool, *more: str) -> DataFrame:
 
     schema = "n_shingles long, digest binary, key long" + "".join(f", {m} {docs.schema[m].dataType.simpleString()}" for m in more) + (", set binary" if whole else "")
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select("text", *more).mapInArrow(run, schema)
+    return docs.select("text", *more).mapInArrow(T.leaving_nothing(run), schema)
 
 
 def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
@@ -172,7 +172,7 @@ def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zstandard.compress(least.tobytes(), 1)])], names=["segment", "counts"])
 
     schema = "segment long, counts binary"
-    found = docs.mapInArrow(counted, schema).repartition(SEGMENTS, "segment").mapInArrow(summed, schema)
+    found = docs.mapInArrow(T.leaving_nothing(counted), schema).repartition(SEGMENTS, "segment").mapInArrow(summed, schema)
     counts = np.zeros((SEGMENTS, each), np.uint32)
     for row in found.collect():  # SEGMENTS rows
         counts[row["segment"]] = np.frombuffer(zstandard.decompress(bytes(row["counts"])), np.uint32)
@@ -231,8 +231,8 @@ def _candidate_chains(docs: DataFrame, size: int, percent: int) -> DataFrame:
             a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    stated = docs.mapInArrow(parts, S.ROW).repartitionById(buckets, "bucket")
-    return stated.mapInArrow(chains, S.ROW).repartitionById(buckets, "bucket").mapInArrow(each_once, "a long, b long")
+    stated = docs.mapInArrow(T.leaving_nothing(parts), S.ROW).repartitionById(buckets, "bucket")
+    return stated.mapInArrow(T.leaving_nothing(chains), S.ROW).repartitionById(buckets, "bucket").mapInArrow(T.leaving_nothing(each_once), "a long, b long")
 
 
 def _pairs(digests: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -435,9 +435,9 @@ def documents_of_classes(df: DataFrame, size: int = SHINGLE, percent: int = PERC
     sets = set_rows(docs.join(placed, ["doc_id", "twin"]), size, True, "own", "node", *place).where("digest = own")
     buckets = T.partitions(df.sparkSession)
     sets = sets.select(*place, "node", "set").repartition(buckets, "block", "shelf", "chunk").sortWithinPartitions(*place, "node")
-    met = sets.mapInArrow(_packed_chunks, "block long, one long, two long, chunk long, sets binary")
+    met = sets.mapInArrow(T.leaving_nothing(_packed_chunks), "block long, one long, two long, chunk long, sets binary")
     met = met.repartition(buckets, "block", "one", "two").sortWithinPartitions("block", "one", "two")
-    links = T.checkpointed(met.mapInArrow(_joined_chunks(percent), "a long, b long"))
+    links = T.checkpointed(met.mapInArrow(T.leaving_nothing(_joined_chunks(percent)), "a long, b long"))
     linked = T.checkpointed(components(links).join(members, "node").select("component", "digest", "lead"))
     best = linked.groupBy("component").agg(F.min("lead").alias("best"))
     named = T.checkpointed(firsts.join(linked.join(best, "component").select("digest", "best"), "digest", "left").select("digest", F.coalesce("best", "lead").alias("lead")))

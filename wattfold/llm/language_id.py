@@ -146,7 +146,7 @@ def identified(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
             found = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array([x is not None and _LETTER.search(x) is not None for x in texts], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*found, *(batch.column(1 + k) for k in range(len(keep)))], names=names)
 
-    return docs.select(F.col("text").cast("string").alias("_text"), *keep).mapInArrow(run, schema)
+    return docs.select(F.col("text").cast("string").alias("_text"), *keep).mapInArrow(T.leaving_nothing(run), schema)
 
 
 def identify(df: DataFrame, model: Model | None = None) -> DataFrame:

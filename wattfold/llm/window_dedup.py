@@ -29,6 +29,18 @@ BUCKETS = 4
 _WORD, _WINDOW, _OTHER, _SEED = (T.Roller(i) for i in (21, 22, 23, 24))
 
 
+def _leaving_nothing(run):
+    """See texts.leaving_nothing; the powers of the hashes go as well, 50 MB at full size."""
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for roller in (_WORD, _WINDOW, _OTHER, _SEED):
+                roller.forget()
+
+    return T.leaving_nothing(clean)
+
+
 def _first_step(buckets: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches, limit=BLOCK_BYTES):
@@ -129,9 +141,9 @@ def repeated_spans(df: DataFrame, size: int = WINDOW) -> DataFrame:
     nothing; null ids come before all others, texts of one id in the order of their digests.
     """
     parts = T.partitions(df.sparkSession)
-    sent = S.documents(df).mapInArrow(_first_step(parts * BUCKETS, size), S.ROW)
+    sent = S.documents(df).mapInArrow(_leaving_nothing(_first_step(parts * BUCKETS, size)), S.ROW)
     dealt = sent.repartitionById(parts, F.pmod("bucket", F.lit(parts))).sortWithinPartitions("bucket")
-    return S.document_spans(dealt.mapInArrow(_second_step(size), S.ROW))
+    return S.document_spans(dealt.mapInArrow(_leaving_nothing(_second_step(size)), S.ROW))
 
 
 def remove_repeats(df: DataFrame, size: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -157,4 +169,4 @@ def remove_repeats(df: DataFrame, size: int = WINDOW, keep: tuple[str, ...] = ()
 
     names = ["doc_id", "kept_text", "n_words", "n_removed", *keep]
     schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", `{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
-    return S.with_spans(S.documents(df, *keep), repeated_spans(df, size), *keep).mapInArrow(run, schema)
+    return S.with_spans(S.documents(df, *keep), repeated_spans(df, size), *keep).mapInArrow(T.leaving_nothing(run), schema)
