@@ -1,9 +1,13 @@
 """What keeps tasks, passes and workers' memory few and small, without touching results."""
 
+import hashlib
+from collections import Counter
+
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from wattfold.llm import queries, texts as T, window_dedup
+from wattfold.llm import jaccard_join, queries, spans as S, texts as T, window_dedup
 from wattfold.llm.components import components
 
 
@@ -12,6 +16,28 @@ def importable(spark):
     queries.importable(spark)
 
 
+def test_sets_whose_hashes_agree_in_one_half_are_ordered_by_the_other(monkeypatch):
+    made = [np.array(x) for x in ([1, 0, 0, 1, 0, 0], [7, 5, 5, 2, 5, 3])]
+    more = np.array([1, 9, 4, 8, 4, 6], np.uint64)
+    monkeypatch.setattr(T, "shingles", lambda *_: (made[0], made[1].astype(np.uint64), more))
+    values, others = jaccard_join.shingle_sets([b"", b""], 3)
+    assert [x.tolist() for x in values] == [[3, 5, 5], [2, 7]]
+    assert [x.tolist() for x in others] == [[6, 4, 9], [8, 1]]
+
+
+def test_one_pass_gives_sets_and_counters(spark):
+    made = [(k, " ".join(f"w{(k * j) % 11}" for j in range(k))) for k in range(40)]
+    docs = S.documents(spark.createDataFrame(made, "doc_id long, text string").repartition(3))
+    found = jaccard_join.noted(docs, 3)
+    sets, others = jaccard_join.shingle_sets(T.Utf8(pa.array([t for _, t in made], pa.large_string())), 3)
+    digests = {k: hashlib.blake2b(x.tobytes() + y.tobytes(), digest_size=16).digest() if len(x) else None for k, (x, y) in enumerate(zip(sets, others))}
+    noted = {r["doc_id"]: (r["n_shingles"], r["digest"] and bytes(r["digest"])) for r in found.where("segment is null").collect()}
+    assert noted == {k: (len(x), digests[k]) for k, x in enumerate(sets)}
+    want = Counter((x >> np.uint64(64 - jaccard_join.COUNTER_BITS)).item() for own in sets for x in own)
+    counts = jaccard_join.shingle_counts(found)
+    assert {k: int(counts[k]) for k in np.flatnonzero(counts).tolist()} == dict(want)
+
+
 def test_a_round_of_components_takes_few_tasks(spark):
     links = T.checkpointed(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long").repartition(1))
     context, before = spark.sparkContext, {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}

@@ -47,7 +47,12 @@ _KEY = b"jaccard"
 def shingle_sets(texts: T.Utf8, size: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each text the ascending hashes of its distinct shingles, and as many bits again of each; fewer words than a shingle are one."""
     doc, value, more = T.shingles(texts, size, _KEY)
-    order = np.lexsort((more, value, doc))
+    # By hash, then stably by text, which numpy does much faster than lexsort.
+    order = np.argsort(value)
+    order = order[np.argsort(doc[order].astype(np.uint16 if len(texts) <= 2**16 else np.int64), kind="stable")]
+    same = (value[order[1:]] == value[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
+    if (same & (more[order[1:]] != more[order[:-1]])).any():  # hashes that differ in the second half only
+        order = np.lexsort((more, value, doc))
     value, more, doc = value[order], more[order], doc[order]
     new = np.ones(len(value), dtype=bool)
     new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1]) | (more[1:] != more[:-1])
@@ -129,38 +134,50 @@ def _key(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def set_rows(docs: DataFrame, size: int, whole: bool, *more: str) -> DataFrame:
-    """n_shingles, digest and key (null: no elements), the columns ``more``, and the set (8 bytes an element) if ``whole``."""
+def set_rows(docs: DataFrame, size: int, *more: str) -> DataFrame:
+    """digest (null: no elements), the columns ``more``, and the set (8 bytes an element)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches):
             sets, others = _sets(batch, size)
-            digests = [_digest(x, y) for x, y in zip(sets, others)]
-            columns = [
-                pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array([x and _key(x) for x in digests], pa.int64()),
-                *(batch.column(1 + k) for k in range(len(more))),
-            ]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in sets], pa.binary())] if whole else columns, names=names)
+            digests = pa.array([_digest(x, y) for x, y in zip(sets, others)], pa.binary())
+            yield pa.RecordBatch.from_arrays([digests, *(batch.column(1 + k) for k in range(len(more))), pa.array([x.tobytes() for x in sets], pa.binary())], names=["digest", *more, "set"])
 
-    schema = "n_shingles long, digest binary, key long" + "".join(f", {m} {docs.schema[m].dataType.simpleString()}" for m in more) + (", set binary" if whole else "")
-    names = [x.split()[0] for x in schema.split(", ")]
+    schema = "digest binary" + "".join(f", {m} {docs.schema[m].dataType.simpleString()}" for m in more) + ", set binary"
     return docs.select("text", *more).mapInArrow(T.leaving_nothing(run), schema)
 
 
-def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
-    """About how many documents hold a shingle, over all documents: 2**COUNTER_BITS counters, addressed by the hash's top bits.
+def noted(docs: DataFrame, size: int) -> DataFrame:
+    """In one pass over the texts: doc_id, twin, n_shingles, digest and key (null: no elements) of each, and each task's counters.
+
+    Rows with a ``segment`` hold ``counts``, how many documents of a task hold a shingle, packed: 2**COUNTER_BITS counters,
+    addressed by the hash's top bits, in SEGMENTS pieces.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2**COUNTER_BITS, np.uint32)
+        for batch in T.chunks(batches):
+            sets, others = _sets(batch, size)
+            np.add.at(total, _counter(np.concatenate(sets)), np.uint32(1))
+            digests = [_digest(x, y) for x, y in zip(sets, others)]
+            columns = [batch.column(1), batch.column(2), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array([x and _key(x) for x in digests], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.binary())], names=names)
+        for k, own in enumerate(total.reshape(SEGMENTS, -1)):
+            if own.any():
+                empty = [pa.nulls(1, kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*empty, pa.array([k], pa.int64()), pa.array([zstandard.compress(own.tobytes(), 1)], pa.binary())], names=names)
+
+    schema = "doc_id long, twin long, n_shingles long, digest binary, key long, segment long, counts binary"
+    names = [x.split()[0] for x in schema.split(", ")]
+    return docs.select("text", "doc_id", "twin").mapInArrow(T.leaving_nothing(run), schema)
+
+
+def shingle_counts(found: DataFrame) -> np.ndarray:
+    """About how many documents hold a shingle, over all documents: the sums of the counters that ``noted`` gives by segment.
 
     Counters only steer the search for candidates: whatever they hold, no linked pair is missed. Their number does not depend
     on the input, so that they fit the driver and a broadcast at any size; shingles that share a counter look more frequent.
     """
     each = 2**COUNTER_BITS // SEGMENTS
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2**COUNTER_BITS, np.uint32)
-        for batch in T.chunks(batches):
-            np.add.at(total, _counter(np.concatenate(_sets(batch, size)[0])), np.uint32(1))
-        for k in np.flatnonzero(total.reshape(SEGMENTS, each).any(axis=1)).tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zstandard.compress(total[k * each : (k + 1) * each].tobytes(), 1)])], names=["segment", "counts"])
-
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -171,10 +188,9 @@ def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
             least = np.minimum(own, np.uint64(2**32 - 1)).astype(np.uint32)
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zstandard.compress(least.tobytes(), 1)])], names=["segment", "counts"])
 
-    schema = "segment long, counts binary"
-    found = docs.mapInArrow(T.leaving_nothing(counted), schema).repartition(SEGMENTS, "segment").mapInArrow(summed, schema)
+    own = found.where("segment is not null").select("segment", "counts")
     counts = np.zeros((SEGMENTS, each), np.uint32)
-    for row in found.collect():  # SEGMENTS rows
+    for row in own.repartition(SEGMENTS, "segment").mapInArrow(summed, "segment long, counts binary").collect():  # SEGMENTS rows
         counts[row["segment"]] = np.frombuffer(zstandard.decompress(bytes(row["counts"])), np.uint32)
     return counts.ravel()
 
@@ -183,10 +199,10 @@ def _counter(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
 
-def _candidate_chains(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Candidate links (a, b) of set keys: each set with the smallest one that has a part in common."""
+def _candidate_chains(docs: DataFrame, size: int, percent: int, counters: np.ndarray) -> DataFrame:
+    """Candidate links (a, b) of set keys: each set with the smallest one that has a part in common. ``counters``: see shingle_counts."""
     buckets = T.partitions(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, size))
+    shared = docs.sparkSession.sparkContext.broadcast(counters)
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, counts = Levels(percent), shared.value
@@ -196,7 +212,7 @@ def _candidate_chains(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 for values, more in zip(*_sets(part, size)):
                     if not len(values):
                         continue
-                    i, held = _key(_digest(values, more)), counts[_counter(values)]
+                    i, held = _key(_digest(values, more)), counts[_counter(values)].astype(np.int64)
                     for level, n in levels.schemes(len(values)):
                         if n == 1:
                             continue  # only equal sets can link
@@ -413,11 +429,12 @@ def documents_of_classes(df: DataFrame, size: int = SHINGLE, percent: int = PERC
     texts.public_id.
     """
     docs = S.documents(df)
-    slim = T.checkpointed(set_rows(docs, size, False, "doc_id", "twin"))
+    found = T.checkpointed(noted(docs, size))
+    slim = found.where("segment is null").drop("segment", "counts")
     firsts = T.checkpointed(
         slim.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "twin")).alias("lead"), F.min("key").alias("key"), F.max("n_shingles").alias("n_shingles"))
     )
-    chains = T.checkpointed(_candidate_chains(docs, size, percent))
+    chains = T.checkpointed(_candidate_chains(docs, size, percent, shingle_counts(found)))
     blocks = T.checkpointed(components(chains).select(F.col("node").alias("key"), F.col("component").alias("block")))
     # A node is a number of a distinct set, unique whatever its key; written, so that it stays.
     members = T.checkpointed(blocks.join(firsts, "key").select("digest", "lead", "block", F.col("n_shingles").alias("elements"), _level(percent), F.monotonically_increasing_id().alias("node")))
@@ -432,7 +449,7 @@ def documents_of_classes(df: DataFrame, size: int = SHINGLE, percent: int = PERC
         F.pmod(F.xxhash64("node"), F.col("same")).alias("chunk"), "same", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("above", "below")),
     ))
     place = ("block", "shelf", "chunk", "same", "above", "below")
-    sets = set_rows(docs.join(placed, ["doc_id", "twin"]), size, True, "own", "node", *place).where("digest = own")
+    sets = set_rows(docs.join(placed, ["doc_id", "twin"]), size, "own", "node", *place).where("digest = own")
     buckets = T.partitions(df.sparkSession)
     sets = sets.select(*place, "node", "set").repartition(buckets, "block", "shelf", "chunk").sortWithinPartitions(*place, "node")
     met = sets.mapInArrow(T.leaving_nothing(_packed_chunks), "block long, one long, two long, chunk long, sets binary")
