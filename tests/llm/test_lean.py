@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from wattfold.llm import jaccard_join, queries, spans as S, texts as T, window_dedup
+from wattfold.llm import jaccard_join, pq_dedup, queries, spans as S, texts as T, window_dedup
 from wattfold.llm.components import components
 
 
@@ -66,3 +66,24 @@ def test_a_worker_keeps_nothing_of_a_window_task():
     for _ in window_dedup._leaving_nothing(iter)([batch]):
         pass
     assert [len(r.up) for r in (window_dedup._WORD, window_dedup._WINDOW, window_dedup._OTHER, window_dedup._SEED)] == [1] * 4
+
+
+def test_codes_rule_out_nearly_all_and_lose_no_link():
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(2000, 64))
+    near = base[:300] + 0.3 * rng.normal(size=(300, 64))
+    unit = pq_dedup._unit(np.concatenate([base, near]))
+    index = pq_dedup.Index(64, unit, 4)
+    own = (unit @ index.centroids.T).argmax(1)
+    candidates = pairs = 0
+    for at in range(4):
+        members = unit[own == at]
+        codes, left_out = index.coded(members, np.full(len(members), at))
+        found = index.estimates(unit, at, codes)
+        found = found if found.shape == (len(members), len(unit)) else found.T
+        exact = members @ unit.T
+        assert (np.abs(found - exact) <= left_out[:, None] + pq_dedup.ROUNDING).all()
+        passed = found >= 0.9 - pq_dedup.ROUNDING - left_out[:, None]
+        assert passed[exact >= 0.9].all() and (exact >= 0.9).sum() > len(members)
+        candidates, pairs = candidates + passed.sum(), pairs + passed.size
+    assert candidates < 0.01 * pairs  # 0.037 with subspaces of eight dimensions

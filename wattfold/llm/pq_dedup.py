@@ -26,8 +26,12 @@ from wattfold.llm import meetings as M, texts as T
 from wattfold.llm.components import components
 
 THRESHOLD = 0.9
-#: Vectors of the sample; vectors of a list on average; lists at most; subspaces and codes in each.
+#: Vectors of the sample; vectors of a list on average; lists at most; least number of subspaces and codes in each.
 SAMPLE, LIST, LISTS, SUBSPACES, CODES = 8192, 500, 1024, 8, 64
+#: Dimensions of a subspace at most. With more, codes leave out so much of a vector that estimates rule out little.
+DIMENSIONS = 4
+#: How far an estimate may be off by single precision, many times over; a candidate more costs a rerank, never a result.
+ROUNDING = 1e-5
 #: Standard deviations of a random direction's share of the reach that lists must be near; up to SPREAD ** 2 dimensions nothing is left out.
 SPREAD = 2.5
 #: Members of a chunk, vectors that look into it in one task, and how many are compared at a time.
@@ -58,7 +62,7 @@ class Index:
         self.centroids = _kmeans(sample, min(lists, len(sample)), 8, 1)
         self.centroids /= np.maximum(np.linalg.norm(self.centroids, axis=1), 1e-12)[:, None]
         rest = sample - self.centroids[(sample @ self.centroids.T).argmax(1)]
-        self.cuts = np.array_split(np.arange(size), min(SUBSPACES, size))
+        self.cuts = np.array_split(np.arange(size), min(max(SUBSPACES, -(-size // DIMENSIONS)), size))
         self.books = [_kmeans(rest[:, c], min(CODES, len(sample)), 6, 2 + i) for i, c in enumerate(self.cuts)]
         gram = self.centroids @ self.centroids.T
         self.apart = np.sqrt(np.maximum(2 - 2 * gram, 0))
@@ -81,10 +85,15 @@ class Index:
         return codes, np.linalg.norm(rest, axis=1)
 
     def estimates(self, looking: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
-        """Estimated cosines of unit vectors with the coded vectors of one list, by table lookup."""
-        out = np.repeat((looking @ self.centroids[at])[:, None], len(codes), 1)
+        """Estimated cosines of the coded vectors of one list (a row each) with unit vectors, by table lookup, in single precision.
+
+        Tables have a row for each code, so that a lookup copies a row for all that look and not a number at a time.
+        """
+        out = np.repeat((looking @ self.centroids[at]).astype(np.float32)[None], len(codes), 0)
+        own = np.empty_like(out)
         for j, (c, book) in enumerate(zip(self.cuts, self.books)):
-            out += (looking[:, c] @ book.T)[:, codes[:, j]]
+            np.take((book @ looking[:, c].T).astype(np.float32), codes[:, j], axis=0, out=own, mode="clip")
+            out += own
         return out
 
 
@@ -152,7 +161,8 @@ def _compared(shared, threshold: float):
             rows = M.distinct_rows(mine, my_twin)
             mine, my_twin, my_list = mine[rows], my_twin[rows], my_list[rows]
             z = _unit(M.matrix(table.column("vector").combine_chunks(), size)[rows])
-            p, m = np.nonzero(index.estimates(z, at - index.first, codes) + left_out >= threshold - 1e-6)
+            least = (threshold - ROUNDING - left_out).astype(np.float32)
+            m, p = np.nonzero(index.estimates(z, at - index.first, codes) >= least[:, None])
             if not len(p):
                 continue
             keep = np.concatenate([np.einsum("ij,ij->i", z[p[k : k + 100_000]], unit[m[k : k + 100_000]]) >= threshold for k in range(0, len(p), 100_000)])
