@@ -4,6 +4,7 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -294,3 +295,49 @@ def test_texts_that_share_an_id_are_documents_of_their_own(spark):
         want = {n: r for n, r in zip(ordered, brute.byte_dedup(list(enumerate(ordered))), strict=True)}
         found = bwt_dedup.remove_repeats(df).collect()
         assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], brute.sha(bytes(r["kept"]))) for r in found) == sorted([want[n][1:] for n in [*ordered, clean]])
+
+
+def test_fragments_with_only_a_minimiser_in_common_reach_no_transform(monkeypatch):
+    rng, sorted_bytes, own = random.Random(10), [], bwt_dedup.repeats
+
+    def counted(parts, *places):
+        sorted_bytes.append(sum(map(len, parts)))
+        return own(parts, *places)
+
+    def letters(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    monkeypatch.setattr(bwt_dedup, "repeats", counted)
+    phrase, passage = letters(40), letters(120)
+    made = [letters(150) + phrase + letters(150) for _ in range(600)] + [letters(n) + passage + letters(150) for n in (30, 200)]
+    n = len(made)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(made), pa.array(range(n))], names=["doc_id", "text", "twin"])
+    found = list(bwt_dedup._second_step(bwt_dedup._first_step(1)(iter([batch]))))
+    spans = [(i, s >> 32, s & 0xFFFFFFFF) for x in found for i, s in zip(x.column(1).to_pylist(), x.column(3).to_pylist())]
+    assert {i for i, _, _ in spans} == {n - 1}
+    assert (min(a for _, a, _ in spans), max(b for _, _, b in spans)) == (200, 320)
+    assert [x[2] for x in brute.byte_dedup(list(enumerate(made)))] == [0] * (n - 1) + [120]
+    assert sum(sorted_bytes) < 1500
+
+
+def test_no_fragment_with_a_window_in_common_is_ruled_out():
+    rng, made = random.Random(11), []
+    for _ in range(60):
+        text = "".join(rng.choice(["th", "on", " ", "tion", "e", "an"]) for _ in range(300))
+        if made:  # a passage of an earlier text
+            other, at = rng.choice(made), rng.randrange(300)
+            text = text[:at] + other[at // 2 : at // 2 + rng.randrange(100, 240)] + text[at:]
+        made.append(text)
+    made += ["=-" * 90, "x" + "=-" * 80, made[0][:150] + "abcd" * 60]
+    texts = T.Utf8(pa.array(made))
+    doc, first, last, least = bwt_dedup.fragments(texts)
+    held = {texts.text(i)[a:b]: m for i, a, b, m in zip(doc.tolist(), first.tolist(), last.tolist(), least.tolist())}
+    parts, marks = list(held), np.array(list(held.values()), np.int64)
+    kept = set(np.flatnonzero(bwt_dedup.may_repeat(parts, marks & 0x7FFFFFFF, marks >> 44 == 0)).tolist())
+    holders: dict = {}
+    for k, part in enumerate(parts):
+        for a in range(len(part) - 99):
+            holders.setdefault(part[a : a + 100], []).append(k)
+    sharing = {k for x in holders.values() if len(x) > 1 for k in x}
+    assert len(sharing) > 100 and sharing <= kept
+    assert len(kept) < len(parts) * 0.8
