@@ -4,12 +4,13 @@ Repeats of ``LENGTH`` bytes are found bucket by bucket. Each window of that many
 ``SEED`` bytes; consecutive windows that share it travel as one fragment to the bucket of that hash, so equal windows always
 meet. A fragment that equals another is settled at once, in the task that cuts it or in the bucket.
 
-In a bucket, the distinct fragments whose minimiser occurs more than once, with like bytes around it, are dealt into shards. Each shard gets its own
-suffix order and transform. The shards' transforms are then merged without sorting their suffixes again: the merged order is
-kept only as the sequence of shard numbers, and one refinement step reads every shard's transform in that sequence and deals
-the shard numbers out stably by the symbol read. After k steps the order is right for the first k symbols, and positions that
-are still undivided share a prefix of k symbols: these intervals are the repeats. The transform's symbols are 8 bytes wide, one
-chain of suffixes for each of the 8 phases, so 12 steps reach 96 bytes and a last half step the hundred.
+In a bucket, the distinct fragments whose minimiser occurs more than once, with like bytes around it, are dealt into shards.
+Each shard gets its own suffix order and transform. The shards' transforms are then merged without sorting their suffixes
+again: the merged order is kept only as the sequence of shard numbers, and one refinement step reads every shard's transform in
+that sequence and deals the shard numbers out stably by the symbol read. After k steps the order is right for the first k
+symbols, and positions that are still undivided share a prefix of k symbols: these intervals are the repeats. The transform's
+symbols are 8 bytes wide, one chain of suffixes for each of the 8 phases, so 12 steps reach 96 bytes and a last half step the
+hundred.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ LENGTH, SEED, SYMBOL = 100, 20, 8
 CUT_BYTES, SEND_BYTES, SHARD_BYTES, MERGE_BYTES = 1_000_000, 8_000_000, 60_000, 400_000
 #: Windows whose distance to their minimiser differs by at most this are told apart by what they have in common.
 REACH = 20
+#: How hard blocks are compressed: disk is nearer to its limit than time.
+LEVEL = 7
 _BYTES = T.Roller(31)
 
 
@@ -116,7 +119,7 @@ class _Sent:
         own, begin = np.unique(bucket[order], return_index=True)
         cuts = zip(begin.tolist(), [*begin[1:].tolist(), len(parts)])
         columns = [x[order] for x in (ids, first, marks, twins)]
-        blocks = [S.packed(*(x[a:b] for x in columns[:3]), parts[a:b], columns[3][a:b]) for a, b in cuts]
+        blocks = [S.packed(*(x[a:b] for x in columns[:3]), parts[a:b], columns[3][a:b], LEVEL) for a, b in cuts]
         yield S.block_rows(own.tolist(), blocks)
 
 

@@ -37,11 +37,11 @@ def numbered(ids: np.ndarray, twins: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return number, ids[new], twins[new]
 
 
-def packed(ids: list[int], starts: list[int], marks: list[int], parts: list[bytes], twins: list[int] = ()) -> bytes:
+def packed(ids: list[int], starts: list[int], marks: list[int], parts: list[bytes], twins: list[int] = (), level: int = 3) -> bytes:
     """Stretches of documents in one compressed block: ids, places, a 32-bit mark each, lengths, contents, and twins if given."""
     arrays = (np.array(ids, np.int64), np.array(starts, np.int64), np.array(marks, np.uint32), np.array([len(x) for x in parts], np.uint32))
     raw = b"".join([struct.pack("<q", len(parts)), np.diff(arrays[0], prepend=0).tobytes(), arrays[1].astype(np.uint32).tobytes(), *(a.tobytes() for a in arrays[2:]), *parts, np.diff(np.array(twins, np.int64), prepend=0).tobytes()])
-    return zstandard.compress(raw, 3)
+    return zstandard.compress(raw, level)
 
 
 def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
