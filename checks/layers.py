@@ -14,6 +14,9 @@ from wattfold.plans.reports import Star
 from wattfold.session import tune
 from wattfold.sources.shared import shared_folder
 
+#: With it a write removes its shuffle files when it ends, instead of when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -29,8 +32,17 @@ def build_storage(spark, d):
     return silver.silver_storage(bronze(spark, d, "ear_diario_subsistema"))
 
 
+def _readings(spark, d):
+    return bronze(spark, d, "restricao_coff_eolica"), bronze(spark, d, "restricao_coff_fotovoltaica")
+
+
 def build_curtailment(spark, d):
-    return silver.silver_curtailment(bronze(spark, d, "restricao_coff_eolica"), bronze(spark, d, "restricao_coff_fotovoltaica"))
+    return silver.silver_curtailment(*_readings(spark, d))
+
+
+def readings(spark, d):
+    """The rows of s_restricao for a step that reads a few of its columns once: these are computed, the table is not written."""
+    return silver.silver_curtailment(*_readings(spark, d), read(spark, d, "s_restricao_chaves"), read(spark, d, "s_restricao_repetidas"))
 
 
 def build_capacity(spark, d):
@@ -40,24 +52,26 @@ def build_capacity(spark, d):
 def build_calendar(spark, d):
     return dims.calendar_dim([
         read(spark, d, "s_balanco").select("din_instante"), read(spark, d, "s_ear").select("dat_referencia"),
-        read(spark, d, "s_restricao").select("din_instante"),
+        silver.silver_curtailment(*_readings(spark, d), read(spark, d, "s_restricao_chaves")).select("din_instante"),
     ])
 
 
 def build_plants(spark, d):
-    return dims.plant_dim(read(spark, d, "s_restricao"), read(spark, d, "s_capacidade"))
+    return dims.plant_dim(readings(spark, d), read(spark, d, "s_capacidade"))
 
 
 BUILDERS = {
     "s_balanco": build_balance,
     "s_ear": build_storage,
+    "s_restricao_chaves": lambda s, d: silver.repeated_readings(*_readings(s, d)),
+    "s_restricao_repetidas": lambda s, d: silver.latest_repeated(*_readings(s, d), read(s, d, "s_restricao_chaves")),
     "s_restricao": build_curtailment,
     "s_capacidade": build_capacity,
     "dim_data": build_calendar,
     "dim_usina": build_plants,
     "fato_geracao_horaria": lambda s, d: facts.generation_fact(read(s, d, "s_balanco")),
     "fato_balanco_horario": lambda s, d: facts.balance_fact(read(s, d, "s_balanco")),
-    "fato_restricao_horaria": lambda s, d: facts.curtailment_fact(read(s, d, "s_restricao")),
+    "fato_restricao_horaria": lambda s, d: facts.curtailment_fact(readings(s, d)),
     "fato_reservatorio_diario": lambda s, d: facts.storage_fact(read(s, d, "s_ear")),
 }
 
@@ -67,7 +81,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     where = (spark.sparkContext.applicationId, sf_dir, name)
     if where not in _written:
         path = shared_folder(tune(spark))
-        BUILDERS[name](spark, sf_dir).write.parquet(path)
+        frame = BUILDERS[name](spark, sf_dir)
+        kept = spark.conf.get(CLEANUP)
+        spark.conf.set(CLEANUP, "true")
+        try:
+            frame.write.option("compression", "zstd").parquet(path)
+        finally:
+            spark.conf.set(CLEANUP, kept)
         _written[where] = path
     return spark.read.parquet(_written[where])
 

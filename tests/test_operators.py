@@ -148,3 +148,33 @@ def test_top_k_best_row_and_blocks(spark):
     months = spark.range(20).select(F.format_string("2025-%02d", "id").alias("m"))
     blocks = R.consecutive_blocks(months, "m", 3, "b").groupBy("b").count().orderBy("b").collect()
     assert [r["count"] for r in blocks] == [len(b) for b in np.array_split(np.arange(20), 3)]
+
+
+def test_rows_of_single_keys_are_not_shuffled_and_the_rest_is_deduplicated(spark):
+    for n, twice in ((300, 7), (40, 40), (5, 0)):  # few keys repeat, all do, none does
+        rows = [(i, "x" if i % 3 else None, 1, f"a{i}") for i in range(n)] + [(i, "x" if i % 3 else None, 2, f"b{i}") for i in range(twice)] * 2
+        df = spark.createDataFrame(rows, "k int, g string, t int, v string").repartition(3)
+        repeated = K.repeated_keys(df, ["k", "g"])
+        assert repeated.count() == twice
+        once, several = K.apart(df, ["k", "g"], repeated)
+        assert {r.k for r in several.collect()} == set(range(twice)) and once.count() == n - twice
+        got = once.unionByName(K.dedupe(several, ["k", "g"], ["t"]))
+        assert sorted(map(str, got.collect())) == sorted(map(str, K.dedupe(df, ["k", "g"], ["t"]).collect()))
+        assert "hashpartitioning" not in once.select("v")._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+
+
+def test_hashes_that_share_a_bit_go_to_the_rows_that_are_compared(spark):
+    low, high = 5, 5 + K.MAP_BITS
+    bits = K.key_map(spark.createDataFrame([(low,), (-1,), (K.MAP_BITS // 2 + 63,)], "resumo bigint")).first().chunks
+    chunk, word, bit = K._place(F.col("h"))
+    for h, there in ((low, 1), (high, 1), (-1, 1), (K.MAP_BITS - 1, 1), (K.MAP_BITS // 2 + 63, 1), (6, 0), (0, 0)):
+        c, w, b = spark.createDataFrame([(h,)], "h bigint").select(chunk, word, bit).first()
+        assert ((bits[c] or [0] * K.CHUNK_WORDS)[w] >> b) & 1 == there
+    assert all(x is None for x in K.key_map(spark.createDataFrame([], "resumo bigint")).first().chunks)
+
+
+def test_targets_made_once_are_the_same_columns(spark):
+    df = spark.createDataFrame([(" a ", "1", "2025-01-01 10:00:00"), ("-", "x", "2025-01-41 10:00:00"), (None, None, None)], "a string, b string, t string")
+    spec = [("a", "nome", "text"), ("b", "valor", "decimal"), ("t", "quando", "timestamp")]
+    plain, once = K.conform(df, spec, ["b"], {"tag": 1}), K.conform(df, spec, ["b"], {"tag": 1}, once=["nome", "quando"])
+    assert plain.columns == once.columns and plain.collect() == once.collect()

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wattfold.config import HALF_HOUR, ORIGINS, REASONS, TOTAL_ROW
 from wattfold.functions.measures import guarded_pct, label, null_as_zero_sum, shortfall, to_energy
-from wattfold.operators.conform import accepted, conform, dedupe, union_conformed
+from wattfold.operators.conform import accepted, apart, conform, dedupe, repeated_keys, union_conformed
 
 CONTROL = ("_source_file", "_ingest_ts")
 LATEST = ("_ingest_ts", "_source_file")
@@ -123,8 +123,8 @@ def typed_storage(bronze: DataFrame) -> DataFrame:
 def typed_curtailment(wind: DataFrame, solar: DataFrame) -> DataFrame:
     """Plant × half hour of both sources, with the energy not generated for a declared reason."""
     base = union_conformed(
-        conform(wind, CURTAILMENT_SPEC, CONTROL, {"cod_fonte": "EOL", "nom_fonte": "Eólica"}),
-        conform(solar, CURTAILMENT_SPEC, CONTROL, {"cod_fonte": "SOL", "nom_fonte": "Solar"}),
+        conform(wind, CURTAILMENT_SPEC, CONTROL, {"cod_fonte": "EOL", "nom_fonte": "Eólica"}, once=CURTAILMENT_KEY[:2]),
+        conform(solar, CURTAILMENT_SPEC, CONTROL, {"cod_fonte": "SOL", "nom_fonte": "Solar"}, once=CURTAILMENT_KEY[:2]),
     )
     cut = shortfall("geracao_referencia_mwmed", "geracao_mwmed", "cod_razao_restricao")
     return base.select(
@@ -158,8 +158,27 @@ def silver_storage(bronze: DataFrame) -> DataFrame:
     return finish(typed_storage(bronze), no_date(), STORAGE_KEY)
 
 
-def silver_curtailment(wind: DataFrame, solar: DataFrame) -> DataFrame:
-    return finish(typed_curtailment(wind, solar), no_instant(), CURTAILMENT_KEY)
+def accepted_curtailment(wind: DataFrame, solar: DataFrame) -> DataFrame:
+    return accepted(typed_curtailment(wind, solar), no_key(no_instant(), CURTAILMENT_KEY))
+
+
+def repeated_readings(wind: DataFrame, solar: DataFrame) -> DataFrame:
+    """The :func:`repeated_keys` of the accepted readings."""
+    return repeated_keys(accepted_curtailment(wind, solar), CURTAILMENT_KEY)
+
+
+def latest_repeated(wind: DataFrame, solar: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """The part of :func:`silver_curtailment` that is shuffled: readings whose key repeats, and few others."""
+    return dedupe(apart(accepted_curtailment(wind, solar), CURTAILMENT_KEY, repeated)[1], CURTAILMENT_KEY, LATEST)
+
+
+def silver_curtailment(wind: DataFrame, solar: DataFrame, repeated: DataFrame | None = None, latest: DataFrame | None = None) -> DataFrame:
+    """The largest and widest table, of whose keys few repeat: the other rows are not shuffled, and a step costs the columns that it reads.
+
+    ``repeated`` and ``latest`` hold :func:`repeated_readings` and :func:`latest_repeated` where they are stored.
+    """
+    once, _ = apart(accepted_curtailment(wind, solar), CURTAILMENT_KEY, repeated)
+    return once.unionByName(latest_repeated(wind, solar, repeated) if latest is None else latest)
 
 
 def silver_capacity(bronze: DataFrame) -> DataFrame:
