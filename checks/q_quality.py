@@ -236,14 +236,14 @@ def night_solar_share(spark, d):
            COUNT(*) FILTER (WHERE gnra_oficial_mwmed IS NULL AND houve_restricao) AS razao_sem_gnra FROM s_restricao""")
 def reconciliation(spark, d):
     """Computed against official energy not generated."""
-    return Q.reconcile_curtailment(layers.read(spark, d, "s_restricao"))
+    return Q.reconcile_curtailment(layers.readings(spark, d))
 
 
 @register("official_without_reason", f"""
     SELECT cod_fonte, {month('din_instante')} AS mes, COUNT(*) AS registros, {rnd('SUM(gnra_oficial_mwh)', 1)} AS gnra_mwh
     FROM s_restricao WHERE gnra_oficial_mwmed IS NOT NULL AND NOT houve_restricao GROUP BY 1, 2""")
 def official_without_reason(spark, d):
-    return Q.official_without_reason(layers.read(spark, d, "s_restricao"))
+    return Q.official_without_reason(layers.readings(spark, d))
 
 
 @register("presence_by_category", f"""
@@ -251,7 +251,7 @@ def official_without_reason(spark, d):
            {rnd('100.0 * COUNT(geracao_referencia_final_mwmed) / COUNT(*)', 2)} AS pct FROM s_restricao GROUP BY 1""")
 def presence_by_category(spark, d):
     return Q.presence_by_category(
-        layers.read(spark, d, "s_restricao"), "cod_razao_restricao", "geracao_referencia_final_mwmed", "com_referencia_final")
+        layers.readings(spark, d), "cod_razao_restricao", "geracao_referencia_final_mwmed", "com_referencia_final")
 
 
 # --- outliers and order statistics ------------------------------------------------------------------------
